@@ -20,7 +20,7 @@ def closure(edges: DataFrame, start: str | Column, source: str, target: str, max
     enumerated, so a graph with many paths between two nodes stays linear per level. Levels are
     checkpointed, which keeps plans short and survives lost executors.
     """
-    pairs = edges.select(F.col(source).alias("_s"), F.col(target).alias("_t")).distinct()
+    pairs = cut_lineage(edges.select(F.col(source).alias("_s"), F.col(target).alias("_t")).distinct())
     level = cut_lineage(pairs.where(F.col("_t") == start).withColumn("depth", F.lit(1)))
     found = level
     for depth in range(2, max_depth + 1):

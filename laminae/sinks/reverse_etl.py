@@ -57,7 +57,11 @@ def sync(
 
 
 def sync_stream(stream: DataFrame, target: JdbcSource, table: str, checkpoint: str, policy: str = "TRIGGERED", interval: str = "60 seconds"):
-    """Append a stream to the target: TRIGGERED drains what is there, CONTINUOUS keeps going."""
+    """Append a stream to the target: TRIGGERED drains what is there, CONTINUOUS keeps going.
+
+    Delivery is at least once: a batch repeated after a failure carries the same `_batch_id`, by
+    which the receiver recognises it.
+    """
     if policy not in POLICIES[1:]:
         raise ValueError(f"a stream syncs TRIGGERED or CONTINUOUS, not {policy!r}")
 
