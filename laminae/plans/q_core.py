@@ -540,10 +540,10 @@ def rolling_events(spark, sf):
     return ordered.rolling(events, ["user_id"], ["ts", "event_id"], ordered.day_segment("ts"), 100, stats)
 
 
-@query("win_rolling_stats", f"SELECT event_id, user_id, ROUND(a, 4) AS rolling_avg, ROUND(s, 4) AS rolling_sd FROM ({ROLLING_SQL})")
+@query("win_rolling_stats", f"SELECT event_id, user_id, ROUND(a, 8) AS rolling_avg, ROUND(s, 8) AS rolling_sd FROM ({ROLLING_SQL})")
 def win_rolling_stats(spark, sf):
     return rolling_events(spark, sf).select(
-        "event_id", "user_id", F.round("rolling_avg", 4).alias("rolling_avg"), F.round("rolling_sd", 4).alias("rolling_sd")
+        "event_id", "user_id", F.round("rolling_avg", 8).alias("rolling_avg"), F.round("rolling_sd", 8).alias("rolling_sd")
     )
 
 

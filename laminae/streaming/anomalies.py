@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laminae.operators.ordered import day_segment, rolling
-from laminae.operators.scd import _orderable  # noqa: F401  (column helper shared with the batch path)
 
 # The flags, and the width of the band in standard deviations.
 HIGH, LOW, NORMAL = "HIGH_OUTLIER", "LOW_OUTLIER", "NORMAL"
