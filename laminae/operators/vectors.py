@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from laminae.operators.changes import table_changes
 from laminae.operators.ordered import same_keys
@@ -64,8 +66,6 @@ def ann(df: DataFrame, vector: str, query: list[float], key: str, k: int = NUM_R
     unit = Normalizer(inputCol="_raw", outputCol="_unit").transform(df.withColumn("_raw", array_to_vector(F.col(vector))))
     lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hashes", numHashTables=tables, bucketLength=width, seed=seed)
     size = sum(float(x) ** 2 for x in query) ** 0.5
-    from pyspark.ml.linalg import Vectors
-
     target = Vectors.dense([float(x) / size for x in query])
     near = lsh.fit(unit).approxNearestNeighbors(unit, target, k)
     return near.select(key, cosine(F.col(vector), query).alias("score")).orderBy(F.col("score").desc(), F.col(key))
@@ -100,7 +100,8 @@ def bm25(df: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
     come back as one row of numbers."""
     wanted = sorted({t.lower() for t in terms})
     words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    counts = [F.size(F.filter(F.col("_words"), lambda w, t=t: w == F.lit(t))) for t in wanted]
+    occurrences = lambda term: F.size(F.filter(F.col("_words"), lambda w: w == F.lit(term)))
+    counts = [occurrences(t) for t in wanted]
     base = df.select(key, words.alias("_words")).select(key, F.size("_words").alias("_len"), *[c.alias(f"_tf{i}") for i, c in enumerate(counts)])
     totals = base.agg(
         F.count(F.lit(1)).alias("n"),
@@ -124,8 +125,6 @@ def hybrid(
 ) -> DataFrame:
     """Reciprocal rank fusion of the `depth` best rows by cosine and by keyword score (both lists
     are top-`depth` results by definition of the fusion, so ranking them is a bounded sort)."""
-    from pyspark.sql import Window as W
-
     by_vector = topk(vectors, vector, query, key, depth)
     by_words = bm25(documents, key, text, terms).orderBy(F.col("keyword_score").desc(), F.col(key)).limit(depth)
     rank = lambda score: F.row_number().over(W.orderBy(F.col(score).desc(), F.col(key)))

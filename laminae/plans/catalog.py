@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from laminae.plans import q_core, q_state  # noqa: F401
+from laminae.plans import q_core, q_ops, q_serve, q_state  # noqa: F401
 from laminae.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
