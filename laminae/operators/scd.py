@@ -35,7 +35,10 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def unique_by(df: DataFrame, keys: list[str], on_duplicate: str = "error", order: list[str] | None = None) -> DataFrame:
-    """One row per key. `error` fails the job on a duplicate, `latest` keeps the newest row."""
+    """One row per key. `error` fails the job on a duplicate, `latest` keeps the newest row, `none`
+    takes the caller's word that keys are unique."""
+    if on_duplicate == "none":
+        return df
     if on_duplicate == "latest":
         return latest_per_key(df, keys, order or [])
     if on_duplicate != "error":
