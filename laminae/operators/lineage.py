@@ -16,18 +16,17 @@ def neighbours(edges: DataFrame, match: str, wanted: str, node: str, time: str =
 def closure(edges: DataFrame, start: str | Column, source: str, target: str, max_depth: int = 10) -> DataFrame:
     """All edges upstream of `start` with the depths at which they are reached, to `max_depth`.
 
-    A frontier loop: each level joins the distinct frontier nodes with the edges. Paths are never
-    enumerated, so a graph with many paths between two nodes stays linear per level. Levels are
-    checkpointed, which keeps plans short and survives lost executors.
+    A frontier loop: each level reads the edges once and keeps those that lead into the distinct
+    frontier nodes, so only matched edges are made distinct and paths are never enumerated. Levels
+    are written to the shared folder, which keeps plans short and survives lost executors.
     """
-    pairs = cut_lineage(edges.select(F.col(source).alias("_s"), F.col(target).alias("_t")).distinct())
-    level = cut_lineage(pairs.where(F.col("_t") == start).withColumn("depth", F.lit(1)))
+    pairs = edges.select(F.col(source).alias("_s"), F.col(target).alias("_t"))
+    level = cut_lineage(pairs.where(F.col("_t") == start).distinct().withColumn("depth", F.lit(1)), "closure")
     found = level
     for depth in range(2, max_depth + 1):
         frontier = level.select(F.col("_s").alias("_n")).distinct()
-        level = cut_lineage(
-            pairs.join(frontier, F.col("_t") == F.col("_n"), "left_semi").withColumn("depth", F.lit(depth))
-        )
+        reached = pairs.join(frontier, F.col("_t") == F.col("_n"), "left_semi").distinct()
+        level = cut_lineage(reached.withColumn("depth", F.lit(depth)), "closure")
         if level.isEmpty():
             break
         found = found.unionByName(level)

@@ -24,25 +24,40 @@ def day_segment(column: str) -> Column:
     return F.date_trunc("day", F.col(column))
 
 
+def _segmented(df: DataFrame, segment: Column | None) -> DataFrame:
+    return df if segment is None else df.withColumn("_segment", segment)
+
+
+def _attach(local: DataFrame, summary: DataFrame, keys: list[str], columns: dict[str, Column], kept: list[str]) -> DataFrame:
+    """Join rows with their segment's summary. Rows are already partitioned by key and segment, so
+    only the summaries move (or are broadcast when they are small)."""
+    joined = local.alias("l").join(summary.alias("r"), same_keys("l", "r", [*keys, "_segment"]), "left")
+    return joined.select(*[F.col(f"l.{c}") for c in kept], *[c.alias(n) for n, c in columns.items()])
+
+
 def with_neighbours(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     payload: list[str],
-    segment: Column,
+    segment: Column | None = None,
     prev: str = "_prev",
     next: str = "_next",
 ) -> DataFrame:
-    """Add the payload of the preceding and following row of the same key (null at the ends)."""
+    """Add the payload of the preceding and following row of the same key (null at the ends).
+
+    Without `segment` the frame's own `_segment` column is used and kept, so that several passes
+    share one shuffle.
+    """
+    source = _segmented(df, segment)
     within = W.partitionBy(*keys, "_segment").orderBy(*order)
-    local = df.withColumn("_segment", segment).withColumn("_payload", F.struct(*payload))
+    local = source.withColumn("_payload", F.struct(*payload))
     local = local.withColumns({prev: F.lag("_payload").over(within), next: F.lead("_payload").over(within)})
 
     across = W.partitionBy(*keys).orderBy("_segment")
     position = F.struct(*order)
     borders = (
-        df.withColumn("_segment", segment)
-        .groupBy(*keys, "_segment")
+        source.groupBy(*keys, "_segment")
         .agg(
             F.min_by(F.struct(*payload), position).alias("_first"),
             F.max_by(F.struct(*payload), position).alias("_last"),
@@ -54,31 +69,57 @@ def with_neighbours(
             F.lead("_first").over(across).alias("_carried_next"),
         )
     )
-    joined = local.alias("l").join(borders.alias("r"), same_keys("l", "r", [*keys, "_segment"]), "left")
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        F.coalesce(F.col(f"l.{prev}"), F.col("r._carried_prev")).alias(prev),
-        F.coalesce(F.col(f"l.{next}"), F.col("r._carried_next")).alias(next),
+    added = {
+        prev: F.coalesce(F.col(f"l.{prev}"), F.col("r._carried_prev")),
+        next: F.coalesce(F.col(f"l.{next}"), F.col("r._carried_next")),
+    }
+    return _attach(local, borders, keys, added, df.columns)
+
+
+def _running(
+    df: DataFrame, keys: list[str], order: list[str], segment: Column | None, name: str, total: Column, within_total: Column
+) -> DataFrame:
+    """A running total per key: inside the segment by a window, before it by a summary."""
+    source = _segmented(df, segment)
+    within = W.partitionBy(*keys, "_segment").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy(*keys).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
+    local = source.withColumn("_local", within_total.over(within))
+    offsets = (
+        source.groupBy(*keys, "_segment")
+        .agg(total.alias("_n"))
+        .select(*keys, "_segment", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
+    return _attach(local, offsets, keys, {name: F.col("l._local") + F.col("r._offset")}, df.columns)
 
 
 def with_positions(
-    df: DataFrame, keys: list[str], order: list[str], segment: Column, name: str = "_position"
+    df: DataFrame, keys: list[str], order: list[str], segment: Column | None = None, name: str = "_position"
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given (total) order."""
-    within = W.partitionBy(*keys, "_segment").orderBy(*order)
+    ones = F.lit(1)
+    return _running(df, keys, order, segment, name, F.count(ones), F.count(ones))
+
+
+def latest_so_far(
+    df: DataFrame, keys: list[str], order: list[str], value: Column, segment: Column | None = None, name: str = "_latest"
+) -> DataFrame:
+    """The last non-null `value` at or before each row of its key."""
+    source = _segmented(df, segment).withColumn("_value", value)
+    within = W.partitionBy(*keys, "_segment").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     before = W.partitionBy(*keys).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
-    local = df.withColumn("_segment", segment).withColumn("_local", F.row_number().over(within))
-    offsets = (
-        df.withColumn("_segment", segment)
+    local = source.withColumn("_local", F.last("_value", ignorenulls=True).over(within))
+    carried = (
+        source.where(F.col("_value").isNotNull())
         .groupBy(*keys, "_segment")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, "_segment", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .agg(F.max_by("_value", F.struct(*order)).alias("_last"))
     )
-    joined = local.alias("l").join(offsets.alias("r"), same_keys("l", "r", [*keys, "_segment"]), "left")
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns], (F.col("l._local") + F.col("r._offset")).alias(name)
+    every = source.select(*keys, "_segment").distinct().alias("e")
+    summary = every.join(carried.alias("c"), same_keys("e", "c", [*keys, "_segment"]), "left").select(
+        *[F.col(f"e.{k}") for k in keys], F.col("e._segment"), F.last("_last", ignorenulls=True).over(
+            W.partitionBy(*[F.col(f"e.{k}") for k in keys]).orderBy(F.col("e._segment")).rowsBetween(W.unboundedPreceding, -1)
+        ).alias("_carried"),
     )
+    return _attach(local, summary, keys, {name: F.coalesce(F.col("l._local"), F.col("r._carried"))}, df.columns)
 
 
 def rolling(
@@ -110,26 +151,14 @@ def rolling(
 def sessions(df: DataFrame, keys: list[str], ts: str, tie: str, gap_seconds: int, segment: Column) -> DataFrame:
     """Add `_session` (1, 2, .. per key): a new one starts after `gap_seconds` without events.
 
-    Session numbers are a running count of session starts: a local count inside each segment plus
-    the number of starts in earlier segments.
+    Session numbers are a running count of session starts. Both passes share one shuffle.
     """
-    marked = with_neighbours(df, keys, [ts, tie], [ts], segment)
+    marked = with_neighbours(df.withColumn("_segment", segment), keys, [ts, tie], [ts])
     quiet = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"_prev.{ts}").cast("timestamp"))
     starts = F.when(F.col("_prev").isNull() | (quiet >= gap_seconds * 1_000_000), 1).otherwise(0)
     marked = marked.withColumn("_starts", starts).drop("_prev", "_next")
-    within = W.partitionBy(*keys, "_segment").orderBy(ts, tie).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*keys).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
-    marked = marked.withColumn("_segment", segment)
-    local = marked.withColumn("_local", F.sum("_starts").over(within))
-    offsets = (
-        marked.groupBy(*keys, "_segment")
-        .agg(F.sum("_starts").alias("_n"))
-        .select(*keys, "_segment", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    joined = local.alias("l").join(offsets.alias("r"), same_keys("l", "r", [*keys, "_segment"]), "left")
-    return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns], (F.col("l._local") + F.col("r._offset")).alias("_session")
-    )
+    counted = _running(marked, keys, [ts, tie], None, "_session", F.sum("_starts"), F.sum("_starts"))
+    return counted.drop("_segment", "_starts")
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from laminae.operators.ordered import day_segment, same_keys, with_neighbours
+from laminae.operators.ordered import day_segment, latest_so_far, same_keys, with_neighbours
 
 # Interval columns of a history table and the default delete markers.
 START, END = "__START_AT", "__END_AT"
@@ -176,9 +176,11 @@ def cdc_scd2(
     visible = [c for c in events.columns if c not in (except_columns or [])]
     tracked = _tracked(visible, keys, track, [*(track_except or []), *seq])
     log = events.withColumn("_deleted", delete_when if delete_when is not None else F.lit(False))
-    log = log.withColumn("_tracked", F.struct(*tracked) if tracked else F.struct(F.lit(1)))
-    log = log.dropDuplicates([*keys, *seq])
-    near = with_neighbours(log, keys, seq, [*seq, "_deleted", "_tracked"], segment)
+    log = log.withColumns({"_tracked": F.struct(*tracked) if tracked else F.struct(F.lit(1)), "_segment": segment})
+    # An event delivered twice equals its neighbour and neither opens nor closes anything. Events
+    # that share a sequence value are ordered by content, so every run orders them alike.
+    order = [*seq, "_deleted", *_orderable(log, tracked)]
+    near = with_neighbours(log, keys, order, [seq[0], "_deleted", "_tracked"])
     alive = ~F.col("_deleted")
 
     def breaks(side: str) -> Column:
@@ -186,10 +188,9 @@ def cdc_scd2(
 
     near = near.withColumns({"_opens": alive & breaks("_prev"), "_closes": alive & breaks("_next")})
     edges = near.where("_opens or _closes").withColumn(END, F.col(f"_next.{seq[0]}")).drop("_prev", "_next")
-    # Between a version's opening row and its closing row no other edge exists: pair them by one lag.
-    paired = with_neighbours(edges, keys, seq, [seq[0]], segment)
-    start = F.when(F.col("_opens"), F.col(seq[0])).otherwise(F.col(f"_prev.{seq[0]}"))
-    return paired.where("_closes").select(*visible, start.alias(START), F.col(END))
+    # The newest opening row at or before a closing row belongs to the same version.
+    paired = latest_so_far(edges, keys, order, F.when(F.col("_opens"), F.col(seq[0])), name=START)
+    return paired.where("_closes").select(*visible, START, END)
 
 
 def merge_history(

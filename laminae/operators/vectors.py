@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
@@ -11,6 +13,7 @@ from pyspark.sql import Window as W
 
 from laminae.operators.changes import table_changes
 from laminae.operators.ordered import same_keys
+from laminae.session import cut_lineage
 
 # Default result size and the rank constant of reciprocal rank fusion.
 NUM_RESULTS = 5
@@ -96,26 +99,33 @@ def scan(index: DataFrame, num_results: int = 100) -> DataFrame:
 
 
 def bm25(df: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
-    """BM25 score of every row holding a query term. Whole texts are tokenised; the corpus totals
-    come back as one row of numbers."""
+    """BM25 score of every row holding a query term.
+
+    Words are runs of letters and digits of the whole text. Texts are read once: lengths and term
+    counts are written to the shared folder, and both the corpus totals (one row) and the scores
+    come from those few numbers.
+    """
     wanted = sorted({t.lower() for t in terms})
-    words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    occurrences = lambda term: F.size(F.filter(F.col("_words"), lambda w: w == F.lit(term)))
-    counts = [occurrences(t) for t in wanted]
-    base = df.select(key, words.alias("_words")).select(key, F.size("_words").alias("_len"), *[c.alias(f"_tf{i}") for i, c in enumerate(counts)])
+    # Words parted by two blanks: neighbours share none, so plain replacement counts whole words.
+    words = F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", "  "))
+    padded = F.concat(F.lit(" "), F.col("_words"), F.lit(" "))
+    times = lambda inner, part: (F.length(inner) - F.length(F.replace(inner, F.lit(part), F.lit("")))) / len(part)
+    length = F.when(F.col("_words") == "", 0).otherwise(times(F.col("_words"), "  ") + 1)
+    occurrences = [times(padded, f" {t} ").cast("int").alias(f"_tf{i}") for i, t in enumerate(wanted)]
+    tokens = df.select(key, words.alias("_words")).select(key, length.cast("int").alias("_len"), *occurrences)
+    base = cut_lineage(tokens, "bm25")
     totals = base.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("_len").alias("avg_len"),
         *[F.sum(F.when(F.col(f"_tf{i}") > 0, 1).otherwise(0)).alias(f"df{i}") for i in range(len(wanted))],
     ).head()
-    score = F.lit(0.0)
+    score, hit = F.lit(0.0), F.lit(False)
+    norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("_len") / F.lit(float(totals.avg_len or 1.0)))
     for i in range(len(wanted)):
-        idf = F.log(F.lit(1.0) + (F.lit(totals.n) - F.lit(totals[f"df{i}"]) + 0.5) / (F.lit(totals[f"df{i}"]) + 0.5))
+        holding = totals[f"df{i}"] or 0
+        idf = math.log(1.0 + (totals.n - holding + 0.5) / (holding + 0.5))
         tf = F.col(f"_tf{i}").cast("double")
-        norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("_len") / F.lit(float(totals.avg_len or 1.0)))
-        score = score + idf * tf * F.lit(BM25_K1 + 1) / (tf + norm)
-    hit = F.lit(False)
-    for i in range(len(wanted)):
+        score = score + F.lit(idf) * tf * F.lit(BM25_K1 + 1) / (tf + norm)
         hit = hit | (F.col(f"_tf{i}") > 0)
     return base.where(hit).select(key, score.alias("keyword_score"))
 

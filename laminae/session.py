@@ -38,13 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint reliably, so a lost executor never forces the whole chain to run again."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write the frame to the shared folder and read it back: later steps start from the files, so
+    a lost executor never makes the whole chain run again, and nothing is computed twice (an eager
+    checkpoint runs its input once to count and once to save)."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
