@@ -24,14 +24,24 @@ def day_segment(column: str) -> Column:
     return F.date_trunc("day", F.col(column))
 
 
-def _segmented(df: DataFrame, segment: Column | None) -> DataFrame:
-    return df if segment is None else df.withColumn("_segment", segment)
+def celled(df: DataFrame, keys: list[str], segment: Column) -> DataFrame:
+    """Add `_cell`, the struct of key and segment.
+
+    Everything below partitions, groups and joins by this one column. As a struct it is never
+    null, so plain equality is null-safe and Spark keeps the partitioning from pass to pass.
+    """
+    return df.withColumn("_cell", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], segment.alias("seg")))
+
+
+def _across(keys: list[str]):
+    """Window over the cells of one key in order."""
+    return W.partitionBy(*[F.col(f"_cell.k{i}") for i in range(len(keys))]).orderBy("_cell.seg")
 
 
-def _attach(local: DataFrame, summary: DataFrame, keys: list[str], columns: dict[str, Column], kept: list[str]) -> DataFrame:
-    """Join rows with their segment's summary. Rows are already partitioned by key and segment, so
+def _attach(local: DataFrame, summary: DataFrame, columns: dict[str, Column], kept: list[str]) -> DataFrame:
+    """Join rows with their cell's summary. Rows are already partitioned and sorted by cell, so
     only the summaries move (or are broadcast when they are small)."""
-    joined = local.alias("l").join(summary.alias("r"), same_keys("l", "r", [*keys, "_segment"]), "left")
+    joined = local.alias("l").join(summary.alias("r"), F.col("l._cell") == F.col("r._cell"), "left")
     return joined.select(*[F.col(f"l.{c}") for c in kept], *[c.alias(n) for n, c in columns.items()])
 
 
@@ -46,80 +56,46 @@ def with_neighbours(
 ) -> DataFrame:
     """Add the payload of the preceding and following row of the same key (null at the ends).
 
-    Without `segment` the frame's own `_segment` column is used and kept, so that several passes
-    share one shuffle.
+    Without `segment` the frame's own `_cell` column is used and kept, so that several passes share
+    one shuffle.
     """
-    source = _segmented(df, segment)
-    within = W.partitionBy(*keys, "_segment").orderBy(*order)
+    source = df if segment is None else celled(df, keys, segment)
+    within = W.partitionBy("_cell").orderBy(*order)
     local = source.withColumn("_payload", F.struct(*payload))
     local = local.withColumns({prev: F.lag("_payload").over(within), next: F.lead("_payload").over(within)})
 
-    across = W.partitionBy(*keys).orderBy("_segment")
     position = F.struct(*order)
-    borders = (
-        source.groupBy(*keys, "_segment")
-        .agg(
-            F.min_by(F.struct(*payload), position).alias("_first"),
-            F.max_by(F.struct(*payload), position).alias("_last"),
-        )
-        .select(
-            *keys,
-            "_segment",
-            F.lag("_last").over(across).alias("_carried_prev"),
-            F.lead("_first").over(across).alias("_carried_next"),
-        )
+    borders = source.groupBy("_cell").agg(
+        F.min_by(F.struct(*payload), position).alias("_first"), F.max_by(F.struct(*payload), position).alias("_last")
+    )
+    borders = borders.select(
+        "_cell", F.lag("_last").over(_across(keys)).alias("_before"), F.lead("_first").over(_across(keys)).alias("_after")
     )
     added = {
-        prev: F.coalesce(F.col(f"l.{prev}"), F.col("r._carried_prev")),
-        next: F.coalesce(F.col(f"l.{next}"), F.col("r._carried_next")),
+        prev: F.coalesce(F.col(f"l.{prev}"), F.col("r._before")),
+        next: F.coalesce(F.col(f"l.{next}"), F.col("r._after")),
     }
-    return _attach(local, borders, keys, added, df.columns)
+    return _attach(local, borders, added, df.columns)
 
 
-def _running(
-    df: DataFrame, keys: list[str], order: list[str], segment: Column | None, name: str, total: Column, within_total: Column
+def running_sum(
+    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, segment: Column | None = None
 ) -> DataFrame:
-    """A running total per key: inside the segment by a window, before it by a summary."""
-    source = _segmented(df, segment)
-    within = W.partitionBy(*keys, "_segment").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*keys).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
-    local = source.withColumn("_local", within_total.over(within))
-    offsets = (
-        source.groupBy(*keys, "_segment")
-        .agg(total.alias("_n"))
-        .select(*keys, "_segment", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    return _attach(local, offsets, keys, {name: F.col("l._local") + F.col("r._offset")}, df.columns)
+    """Running total of an integer per key: inside the cell by a window, before it by a summary."""
+    source = df if segment is None else celled(df, keys, segment)
+    within = W.partitionBy("_cell").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    before = _across(keys).rowsBetween(W.unboundedPreceding, -1)
+    local = source.withColumn("_local", F.sum(value).over(within))
+    totals = source.groupBy("_cell").agg(F.sum(value).alias("_n"))
+    offsets = totals.select("_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return _attach(local, offsets, {name: F.col("l._local") + F.col("r._offset")}, df.columns)
 
 
 def with_positions(
-    df: DataFrame, keys: list[str], order: list[str], segment: Column | None = None, name: str = "_position"
+    df: DataFrame, keys: list[str], order: list[str], segment: Column, name: str = "_position"
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given (total) order."""
-    ones = F.lit(1)
-    return _running(df, keys, order, segment, name, F.count(ones), F.count(ones))
-
-
-def latest_so_far(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, segment: Column | None = None, name: str = "_latest"
-) -> DataFrame:
-    """The last non-null `value` at or before each row of its key."""
-    source = _segmented(df, segment).withColumn("_value", value)
-    within = W.partitionBy(*keys, "_segment").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*keys).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
-    local = source.withColumn("_local", F.last("_value", ignorenulls=True).over(within))
-    carried = (
-        source.where(F.col("_value").isNotNull())
-        .groupBy(*keys, "_segment")
-        .agg(F.max_by("_value", F.struct(*order)).alias("_last"))
-    )
-    every = source.select(*keys, "_segment").distinct().alias("e")
-    summary = every.join(carried.alias("c"), same_keys("e", "c", [*keys, "_segment"]), "left").select(
-        *[F.col(f"e.{k}") for k in keys], F.col("e._segment"), F.last("_last", ignorenulls=True).over(
-            W.partitionBy(*[F.col(f"e.{k}") for k in keys]).orderBy(F.col("e._segment")).rowsBetween(W.unboundedPreceding, -1)
-        ).alias("_carried"),
-    )
-    return _attach(local, summary, keys, {name: F.coalesce(F.col("l._local"), F.col("r._carried"))}, df.columns)
+    return running_sum(df, keys, order, F.lit(1), name, segment)
 
 
 def rolling(
@@ -153,12 +129,11 @@ def sessions(df: DataFrame, keys: list[str], ts: str, tie: str, gap_seconds: int
 
     Session numbers are a running count of session starts. Both passes share one shuffle.
     """
-    marked = with_neighbours(df.withColumn("_segment", segment), keys, [ts, tie], [ts])
+    marked = with_neighbours(celled(df, keys, segment), keys, [ts, tie], [ts])
     quiet = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"_prev.{ts}").cast("timestamp"))
     starts = F.when(F.col("_prev").isNull() | (quiet >= gap_seconds * 1_000_000), 1).otherwise(0)
     marked = marked.withColumn("_starts", starts).drop("_prev", "_next")
-    counted = _running(marked, keys, [ts, tie], None, "_session", F.sum("_starts"), F.sum("_starts"))
-    return counted.drop("_segment", "_starts")
+    return running_sum(marked, keys, [ts, tie], F.col("_starts"), "_session").drop("_cell", "_starts")
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from laminae.operators.ordered import day_segment, latest_so_far, same_keys, with_neighbours
+from laminae.operators.ordered import celled, day_segment, same_keys
 
 # Interval columns of a history table and the default delete markers.
 START, END = "__START_AT", "__END_AT"
@@ -36,7 +36,10 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 def unique_by(df: DataFrame, keys: list[str], on_duplicate: str = "error", order: list[str] | None = None) -> DataFrame:
     """One row per key. `error` fails the job on a duplicate, `latest` keeps the newest row, `none`
-    takes the caller's word that keys are unique."""
+    takes the caller's word that keys are unique. A key column that is NULL fails the job: such a
+    row could never be matched with its stored version."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    df = df.where(F.when(missing, F.raise_error(F.lit(f"NULL in key {keys}"))).isNull())
     if on_duplicate == "none":
         return df
     if on_duplicate == "latest":
@@ -50,6 +53,11 @@ def unique_by(df: DataFrame, keys: list[str], on_duplicate: str = "error", order
     return checked.select(*keys, "_row.*").select(*df.columns)
 
 
+def _equal_keys(keys: list[str]) -> list[Column]:
+    """Plain equality: keys are not NULL, and the partitioning of `unique_by` serves the join."""
+    return [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+
+
 def is_delete(op_column: str, delete_values: list[str] | None = None) -> Column:
     """Operation marker compared without regard to case."""
     values = sorted({v.lower() for v in (delete_values or DELETE_VALUES)})
@@ -77,7 +85,7 @@ def snapshot_changes(prev: DataFrame, snap: DataFrame, keys: list[str], on_dupli
         .otherwise("update")
     )
     gone = F.col("b._in").isNull()
-    return a.join(b, same_keys("a", "b", keys), "full_outer").select(
+    return a.join(b, _equal_keys(keys), "full_outer").select(
         *[F.when(gone, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in snap.columns],
         change.alias("_change"),
     )
@@ -123,7 +131,7 @@ def apply_snapshot_scd2(
     kept = F.when(had & has & same, row("b", F.col(f"a.{START}"), nothing))
     closed = F.when(had & (~has | ~same), row("a", F.col(f"a.{START}"), version))
     opened = F.when(has & (~had | ~same), row("b", version, nothing))
-    moved = open_rows.join(fresh, same_keys("a", "b", keys), "full_outer").select(
+    moved = open_rows.join(fresh, _equal_keys(keys), "full_outer").select(
         F.inline(F.array_compact(F.array(kept, closed, opened)))
     )
     return history.where(F.col(END).isNotNull()).select(*moved.columns).unionByName(moved)
@@ -176,21 +184,48 @@ def cdc_scd2(
     visible = [c for c in events.columns if c not in (except_columns or [])]
     tracked = _tracked(visible, keys, track, [*(track_except or []), *seq])
     log = events.withColumn("_deleted", delete_when if delete_when is not None else F.lit(False))
-    log = log.withColumns({"_tracked": F.struct(*tracked) if tracked else F.struct(F.lit(1)), "_segment": segment})
+    log = log.withColumn("_tracked", F.struct(*tracked) if tracked else F.struct(F.lit(1)))
+    log = celled(log, keys, segment)
     # An event delivered twice equals its neighbour and neither opens nor closes anything. Events
     # that share a sequence value are ordered by content, so every run orders them alike.
     order = [*seq, "_deleted", *_orderable(log, tracked)]
-    near = with_neighbours(log, keys, order, [seq[0], "_deleted", "_tracked"])
-    alive = ~F.col("_deleted")
-
-    def breaks(side: str) -> Column:
-        return F.col(side).isNull() | F.col(f"{side}._deleted") | ~F.col(f"{side}._tracked").eqNullSafe(F.col("_tracked"))
-
-    near = near.withColumns({"_opens": alive & breaks("_prev"), "_closes": alive & breaks("_next")})
-    edges = near.where("_opens or _closes").withColumn(END, F.col(f"_next.{seq[0]}")).drop("_prev", "_next")
-    # The newest opening row at or before a closing row belongs to the same version.
-    paired = latest_so_far(edges, keys, order, F.when(F.col("_opens"), F.col(seq[0])), name=START)
-    return paired.where("_closes").select(*visible, START, END)
+    alive, at = ~F.col("_deleted"), F.col(seq[0])
+    mark = F.struct(at.alias("at"), F.col("_deleted").alias("gone"), F.col("_tracked").alias("row"))
+
+    def same_version(side: str) -> Column:
+        near = F.col(side)
+        return near.isNotNull() & ~near["gone"] & near["row"].eqNullSafe(F.col("_tracked"))
+
+    # Versions as far as one cell (key and segment) shows them. One shuffle, one sort.
+    within = W.partitionBy("_cell").orderBy(*order)
+    sofar = within.rowsBetween(W.unboundedPreceding, 0)
+    local = log.withColumns({"_p": F.lag(mark).over(within), "_n": F.lead(mark).over(within)})
+    local = local.withColumns({"_first": F.col("_p").isNull(), "_last": F.col("_n").isNull(), "_end": F.col("_n.at")})
+    opening = F.when(alive & ~same_version("_p"), F.struct(at.alias("at"), F.col("_first").alias("first")))
+    local = local.withColumn("_open", F.last(opening, ignorenulls=True).over(sofar))
+    pieces = local.where((alive & ~same_version("_n")) | (F.col("_deleted") & (F.col("_first") | F.col("_last"))))
+    pieces = pieces.withColumns(
+        {
+            "_first": F.when(alive, F.col("_open.first")).otherwise(F.col("_first")),
+            "_start": F.when(alive, F.col("_open.at")).otherwise(at),
+        }
+    ).select(*dict.fromkeys([*keys, *visible, *order]), "_tracked", "_first", "_last", "_start", "_end")
+    whole = pieces.where(alive & ~F.col("_first") & ~F.col("_last"))
+    whole = whole.select(*visible, F.col("_start").alias(START), F.col("_end").alias(END))
+
+    # Pieces at a cell border are joined up per key; there are at most a few per key and segment.
+    ordered = W.partitionBy(*keys).orderBy(*order)
+    edge = F.struct(F.col("_start").alias("at"), F.col("_deleted").alias("gone"), F.col("_tracked").alias("row"))
+    border = pieces.where(F.col("_first") | F.col("_last"))
+    border = border.withColumns({"_p": F.lag(edge).over(ordered), "_n": F.lead(edge).over(ordered)})
+    begins = F.when(~(F.col("_first") & same_version("_p")), F.col("_start"))
+    border = border.withColumns(
+        {
+            START: F.last(begins, ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, 0)),
+            END: F.coalesce("_end", F.when(F.col("_last"), F.col("_n.at"))),
+        }
+    )
+    return whole.unionByName(border.where(alive & ~(F.col("_last") & same_version("_n"))).select(*visible, START, END))
 
 
 def merge_history(
