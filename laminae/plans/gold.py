@@ -143,7 +143,7 @@ def fact_order_line(silver: Silver) -> DataFrame:
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     text = lambda c: F.col(c).cast("string")
     return line.join(head, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("order_line_key"),
+        F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")).alias("order_line_key"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
         F.col("o_custkey").alias("customer_key"),
