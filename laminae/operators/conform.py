@@ -56,8 +56,8 @@ STEPS = {
 
 
 def conform(df: DataFrame, steps: list[dict], at=None, current=None) -> DataFrame:
-    """Run the steps in order, then add the silver audit columns. Spark folds adjoining
-    projections into one. `current` overrides `_is_current` (a history table knows better)."""
+    """Run the steps in order, then add the silver audit columns. All of them are projections that
+    Spark compiles into one stage. `current` overrides `_is_current` (a history table knows better)."""
     for step in steps:
         kind = step.get("type")
         if kind not in STEPS:

@@ -43,7 +43,8 @@ def scan_rescued(spark: SparkSession, path: str, fmt: str, schema: str | T.Struc
 
 
 def split_rescued(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean rows, quarantined rows). Works on batch and streaming frames."""
+    """(clean rows, quarantined rows). Works on batch and streaming frames. Write the quarantined
+    rows before counting them: Spark does not count text files by the corrupt column alone."""
     clean = df.where(~F.col("has_parsing_errors")).drop(CORRUPT_COLUMN, "has_parsing_errors")
     return clean, df.where(F.col("has_parsing_errors"))
 
