@@ -152,20 +152,20 @@ def silver_batch(spark, sf):
 @query(
     "daily_metrics",
     """SELECT CAST(o_orderdate AS DATE) AS day, COUNT(DISTINCT o_custkey) AS customers, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
- ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 6) AS avg_order FROM orders GROUP BY 1""",
+ CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_order FROM orders GROUP BY 1""",
 )
 def daily_metrics(spark, sf):
     revenue = F.sum(money("o_totalprice")).cast("double")
     daily = Tables(spark, sf).orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
         F.countDistinct("o_custkey").alias("customers"), F.count(F.lit(1)).alias("orders"), revenue.alias("revenue")
     )
-    return daily.withColumn("avg_order", F.round(F.col("revenue") / F.col("orders"), 6))
+    return daily.withColumn("avg_order", F.col("revenue") / F.col("orders"))
 
 
 @query(
     "sales_summary_month",
     """SELECT p_type AS category, strftime(l_shipdate, '%Y-%m') AS month, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total, COUNT(*) AS n,
- ROUND(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 6) AS average FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
+ CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS average FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
 )
 def sales_summary_month(spark, sf):
     """Summed per part and month before the join, so a part in a third of all lines joins as one
@@ -176,7 +176,7 @@ def sales_summary_month(spark, sf):
     )
     joined = monthly.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     out = joined.groupBy(F.col("p_type").alias("category"), "month").agg(F.sum("s").cast("double").alias("total"), F.sum("c").alias("n"))
-    return out.withColumn("average", F.round(F.col("total") / F.col("n"), 6))
+    return out.withColumn("average", F.col("total") / F.col("n"))
 
 
 _MONTHLY = """SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1, 2, 3"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from laminae.operators import ordered
-from laminae.plans.registry import EVENTS_NOW, Tables, at, query
+from laminae.plans.registry import EVENTS_NOW, Tables, at, money, query
 from laminae.sources.tables import wall_clock
 from laminae.streaming import basics, dedup, joins, windows
 
@@ -45,12 +45,12 @@ def _bucket_sql(size: str, step: str, extra: str, keys: str = "event_type") -> s
     return f"SELECT {keys}, {start} AS window_start, {start} + INTERVAL {step} AS window_end, {extra} FROM events GROUP BY ALL"
 
 
-_STATS = "ROUND(AVG(value), 6) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value, COUNT(*) AS event_count"
+_STATS = "CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value, COUNT(*) AS event_count"
 
 
 def stats():
     return [
-        F.round(F.avg("value"), 6).alias("avg_value"),
+        (F.sum(money("value")).cast("double") / F.count(F.lit(1))).alias("avg_value"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
         F.count(F.lit(1)).alias("event_count"),
