@@ -219,7 +219,7 @@ def profile_files(spark: SparkSession, path: str, fmt: str = "parquet", **option
         inference = {"inferSchema": "true"} if fmt == "csv" else {}
         df = scan_files(spark, path, fmt, **{**inference, **options})
     except AnalysisException as e:
-        return failed(f"cannot read path: {e.getErrorClass()}" if hasattr(e, "getErrorClass") else "cannot read path")
+        return failed(f"cannot read path: {e.getCondition()}")
     return profile(df).select(
         F.lit(path).alias("path"), F.lit(totals.n).alias("file_count"), F.lit(totals.b).alias("total_bytes"), "*", F.lit(None).cast("string").alias("error")
     )
