@@ -72,14 +72,14 @@ def export_files(spark, sf):
     "SELECT o_orderkey, r_name AS region FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
 )
 def partitioned_output(spark, sf):
-    """One folder per region from one job; each region is spread over several writers."""
+    """One folder per region from one job."""
     t, path = Tables(spark, sf), scratch_path(spark, "regions")
     located = (
         t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    sink.write_partitioned(located.select("o_orderkey", F.col("r_name").alias("region")), path, ["region"], spread=4)
+    sink.write_partitioned(located.select("o_orderkey", F.col("r_name").alias("region")), path, ["region"])
     return spark.read.parquet(path)
 
 

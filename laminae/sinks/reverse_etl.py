@@ -13,9 +13,10 @@ POLICIES = ["SNAPSHOT", "TRIGGERED", "CONTINUOUS"]
 
 
 def copy_snapshot(df: DataFrame, target: JdbcSource, table: str, writers: int = 8) -> None:
-    """Replace the target's rows. `writers` bounds the connections opened at once."""
+    """Replace the target's rows. `writers` bounds the connections opened at once; the rows are
+    shuffled to them, so the work before the write keeps its own parallelism."""
     (
-        df.coalesce(writers)
+        df.repartition(writers)
         .write.format("jdbc")
         .options(**target.option_map())
         .option("dbtable", table)
@@ -66,7 +67,7 @@ def sync_stream(stream: DataFrame, target: JdbcSource, table: str, checkpoint: s
         raise ValueError(f"a stream syncs TRIGGERED or CONTINUOUS, not {policy!r}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id)).coalesce(8).write.format("jdbc").options(
+        batch.withColumn("_batch_id", F.lit(batch_id)).repartition(8).write.format("jdbc").options(
             **target.option_map()
         ).option("dbtable", table).mode("append").save()
 

@@ -24,11 +24,12 @@ def export_files(df: DataFrame, path: str, fmt: str = "parquet", **options) -> N
     df.write.format(fmt).options(**{**defaults, **options}).mode("overwrite").save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str], spread: int = 1) -> None:
-    """One folder per value. Rows are clustered by the partition columns first so each folder gets
-    few files; `spread` divides a dominant value over several writers."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    df.repartition(*[F.col(c) for c in columns], salt).write.partitionBy(*columns).mode("overwrite").parquet(path)
+def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
+    """One folder per value. Rows are rebalanced by the partition columns: each folder gets few
+    files, and AQE splits the share of a dominant value over several writers."""
+    names = ", ".join(f"`{c}`" for c in columns)
+    rebalanced = df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{rows}}", rows=df)
+    rebalanced.write.partitionBy(*columns).mode("overwrite").parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str], partitions: int | None = None) -> None:
@@ -40,7 +41,8 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], partitions: int |
 
 
 def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:
-    """Bucketed and sorted table: later joins and keyed applies on `keys` need no shuffle."""
+    """Bucketed and sorted table: later joins and keyed applies on `keys` need no shuffle. Meant for
+    state tables, whose keys are unique; a column with a dominant value would fill one bucket."""
     df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(name)
 
 

@@ -6,21 +6,30 @@ former version current. Readers pick the newest committed number.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def _folders(spark: SparkSession, path: str) -> list[int]:
+def committed(spark: SparkSession, path: str, prefix: str = "v=") -> list[str]:
+    """Values of the `prefix` folders below a path that hold a finished write, from the listing
+    alone: no data file is opened."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hadoop):
         return []
-    numbers = []
+    values = []
     for status in fs.listStatus(hadoop):
         name = status.getPath().getName()
         done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(done):
-            numbers.append(int(name[2:]))
-    return sorted(numbers)
+        if name.startswith(prefix) and fs.exists(done):
+            values.append(name[len(prefix) :])
+    return values
+
+
+def _folders(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(v) for v in committed(spark, path))
 
 
 def latest_version(spark: SparkSession, path: str) -> int:
@@ -47,24 +56,25 @@ def drop_versions(spark: SparkSession, path: str, keep: int) -> list[int]:
     return old
 
 
-def append_audit(df: DataFrame, path: str, batch_id: int, taken_on, partition_by: str | None = None) -> None:
-    """Raw copy of a snapshot, in a partition of its own; writing a batch again replaces it."""
-    from pyspark.sql import functions as F
+AUDIT_PREFIX = "_snapshot="
+
 
-    parts = [c for c in [partition_by] if c]
-    stamped = df.withColumn("_snapshot_date", F.lit(str(taken_on)).cast("date"))
-    writer = stamped.write.mode("overwrite")
-    (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/_batch_id={batch_id}")
+def append_audit(df: DataFrame, path: str, batch_id: int, taken_on, partition_by: str | None = None) -> None:
+    """Raw copy of a snapshot in a folder named by its date and number; writing a batch again
+    replaces it. Readers see the name as column `_snapshot`."""
+    writer = df.withColumn("_batch_id", F.lit(batch_id)).write.mode("overwrite")
+    target = f"{path}/{AUDIT_PREFIX}{taken_on}.{batch_id}"
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
 
 
 def expire_audit(spark: SparkSession, path: str, as_of, retention_days: int) -> list[int]:
-    """Drop audit batches older than the retention; returns their numbers."""
-    from pyspark.sql import functions as F
-
-    cutoff = F.date_sub(F.lit(str(as_of)).cast("date"), retention_days)
-    dated = spark.read.option("mergeSchema", "true").parquet(path).groupBy("_batch_id").agg(F.max("_snapshot_date").alias("d"))
-    gone = [r._batch_id for r in dated.where(F.col("d") < cutoff).collect()]
-    for number in gone:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_batch_id={number}")
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """Drop audit copies older than the retention, judged by folder name; returns their numbers."""
+    oldest = date.fromisoformat(str(as_of)) - timedelta(days=retention_days)
+    gone = []
+    for name in committed(spark, path, AUDIT_PREFIX):
+        taken_on, number = name.split(".")
+        if date.fromisoformat(taken_on) < oldest:
+            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{AUDIT_PREFIX}{name}")
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            gone.append(int(number))
     return sorted(gone)

@@ -39,8 +39,8 @@ class ChangeState:
         return df.where(F.col("_batch_id") > after).drop("_batch_id")
 
     def newest_batch(self) -> int:
-        ids = self.spark.read.parquet(f"{self.path}/log").select("_batch_id").distinct()
-        return ids.agg(F.max("_batch_id").alias("m")).head().m
+        """Number of the last finished batch, from the folder names."""
+        return max(int(v) for v in versions.committed(self.spark, f"{self.path}/log", "_batch_id="))
 
     def _newest(self, keep_tombstones: bool) -> DataFrame:
         base_version = versions.latest_version(self.spark, f"{self.path}/base")

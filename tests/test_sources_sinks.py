@@ -129,7 +129,7 @@ def test_tables_and_exports(spark, run_dir):
 
 def test_layouts(spark, run_dir):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
-    sink.write_partitioned(orders, f"{run_dir}/p", ["o_orderstatus"], spread=2)
+    sink.write_partitioned(orders, f"{run_dir}/p", ["o_orderstatus"])
     pruned = spark.read.parquet(f"{run_dir}/p").where("o_orderstatus = 'F'")
     assert "PartitionFilters: [isnotnull(o_orderstatus" in plan(pruned)
     assert pruned.count() == orders.where("o_orderstatus = 'F'").count()
