@@ -53,20 +53,28 @@ class Run:
     def stored(self, layer: str, table: str) -> DataFrame | None:
         return versions.read_version(self.spark, self.path(layer, table))
 
-    def commit(self, layer: str, table: str, df: DataFrame, changed: bool) -> None:
+    def commit(self, layer: str, table: str, df: DataFrame, key: list[str] | None = None) -> bool:
+        """Write the next version. When it holds the same rows as the one before, it is taken back
+        (until then readers see equal rows either way). Comparing what was written, instead of the
+        frame, runs the frame once. `key=None` states that the rows are new."""
         place = self.path(layer, table)
-        number = versions.write_version(df, place) if changed else versions.latest_version(self.spark, place)
-        self.steps.append(Step(layer, table, number, changed))
+        before = versions.latest_version(self.spark, place)
+        number = versions.write_version(df, place, before + 1)
+        if before and key is not None:
+            old, new = (versions.read_version(self.spark, place, n) for n in (before, number))
+            if _same_rows(old, new, key):
+                versions.drop_version(self.spark, place, number)
+                number = before
+        self.steps.append(Step(layer, table, number, number != before))
+        return number != before
 
     def instant(self):
         return F.lit(self.at).cast("timestamp")
 
 
-def _same_rows(old: DataFrame | None, new: DataFrame, keys: list[str]) -> bool:
+def _same_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> bool:
     """Equal apart from load stamps. Hash sums settle the usual case (something changed) in one
     aggregate per side; only equal sums are then proven row by row."""
-    if old is None:
-        return False
     columns = [c for c in new.columns if c not in STAMPS]
     if set(columns) != {c for c in old.columns if c not in STAMPS}:
         return False
@@ -106,23 +114,20 @@ def _snapshot(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFr
         extra = [f for f in known.schema.fields if f.name not in snap.columns]
         snap = snap.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra}) if extra else snap
     if c.scd_type == 2 and key:
-        current = prev.where(F.col(scd.END).isNull()).drop(scd.START, scd.END) if prev is not None else None
-        same = _same_rows(current, snap, key)
         if prev is None:
             state = scd.first_history(snap, run.instant())
         else:
             missing = [f for f in snap.schema.fields if f.name not in prev.columns]
             prev = prev.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else prev
             state = scd.apply_snapshot_scd2(prev, snap, key, run.instant(), track_except=STAMPS, on_duplicate="none")
+        changed = run.commit("bronze", c.target_name, state, [*key, scd.START])
     else:
-        same = _same_rows(prev, snap, key)
-        state = snap
-    if c.audit["enabled"] and not same:
+        changed = run.commit("bronze", c.target_name, snap, key)
+    if c.audit["enabled"] and changed:
         batch = run.control.next_batch(c.target_name, run.at)
         place = run.path("audit", c.target_name)
         versions.append_audit(loaded, place, batch, run.at.date(), c.audit["partition_by"])
         versions.expire_audit(run.spark, place, run.at.date(), int(c.audit["retention_days"]))
-    run.commit("bronze", c.target_name, state, not same)
 
 
 def _incremental(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFrame, key: list[str]) -> None:
@@ -139,7 +144,7 @@ def _incremental(run: Run, c: TableContract, prev: DataFrame | None, loaded: Dat
         run.steps.append(Step("bronze", c.target_name, number - 1, False))
         return
     merged = raw if prev is None else schema_drift.evolve_union(prev, raw)
-    run.commit("bronze", c.target_name, scd.latest_per_key(merged, key, order), True)
+    run.commit("bronze", c.target_name, scd.latest_per_key(merged, key, order))
     run.control.set_watermark(c.target_name, column, top.hi, top.n, run.at)
 
 
@@ -152,7 +157,7 @@ def _changes(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFra
     else:
         state = scd.cdc_scd1(loaded, key, order, gone, [c.operation_column], state=prev, keep_tombstones=bool(key))
     compare = [*key, scd.START] if c.scd_type == 2 and key else key
-    run.commit("bronze", c.target_name, state, not _same_rows(prev, state, compare))
+    run.commit("bronze", c.target_name, state, compare)
 
 
 def bronze_rows(run: Run, c: TableContract) -> DataFrame:
@@ -169,22 +174,18 @@ def silver(run: Run, c: TableContract) -> None:
     stored = run.stored("silver", c.target_name)
     key = list(c.merge_keys)
     if c.silver_scd_type == 2 and key and scd.END not in state.columns:
-        open_rows = stored.where(F.col(scd.END).isNull()).drop(scd.START, scd.END) if stored is not None else None
-        same = _same_rows(open_rows, clean, key)
         if stored is None:
             fresh = scd.first_history(clean, run.instant())
         else:
             moved = scd.apply_snapshot_scd2(stored, clean, key, run.instant(), track_except=STAMPS)
             fresh = moved.withColumn("_is_current", F.col(scd.END).isNull())
-        run.commit("silver", c.target_name, fresh, not same)
+        changed = run.commit("silver", c.target_name, fresh, [*key, scd.START])
     else:
         compare = [*key, scd.START] if scd.START in state.columns and key else key
-        run.commit("silver", c.target_name, clean, not _same_rows(stored, clean, compare))
+        changed = run.commit("silver", c.target_name, clean, compare)
     if quality.of_action(list(c.rules), "warn"):
-        held = quality.quarantine(shaped, list(c.rules), run.instant())
-        before = run.stored("quarantine", c.target_name)
-        run.commit("quarantine", c.target_name, held, not _same_rows(before, held, []))
-    if c.rules and run.steps and any(s.changed and s.table == c.target_name and s.layer == "silver" for s in run.steps):
+        run.commit("quarantine", c.target_name, quality.quarantine(shaped, list(c.rules), run.instant()), [])
+    if c.rules and changed:
         rates = quality.quality_metrics(shaped, list(c.rules), c.target_name).withColumn("measured_at", run.instant())
         rates.coalesce(1).write.mode("append").parquet(run.path("control", "quality_metrics"))
 
@@ -198,7 +199,7 @@ def gold(run: Run, tables: list[str], models: list[star.Model]) -> None:
         stored = run.stored("gold", model.name)
         fresh = star.refresh(model, layer, stored, run.instant())
         key = [*model.natural_key, *([scd.START] if model.keeps_history else [])]
-        run.commit("gold", model.name, fresh, not _same_rows(stored, fresh, key))
+        run.commit("gold", model.name, fresh, key)
 
 
 def reconcile_table(run: Run, c: TableContract) -> DataFrame:

@@ -47,12 +47,20 @@ def write_version(df: DataFrame, path: str, version: int | None = None) -> int:
     return number
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_version(spark: SparkSession, path: str, version: int) -> None:
+    _delete(spark, f"{path}/v={version}")
+
+
 def drop_versions(spark: SparkSession, path: str, keep: int) -> list[int]:
     """Retention: delete all but the newest `keep` committed versions."""
     old = _folders(spark, path)[:-keep] if keep else []
     for number in old:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={number}")
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        drop_version(spark, path, number)
     return old
 
 
@@ -74,7 +82,6 @@ def expire_audit(spark: SparkSession, path: str, as_of, retention_days: int) ->
     for name in committed(spark, path, AUDIT_PREFIX):
         taken_on, number = name.split(".")
         if date.fromisoformat(taken_on) < oldest:
-            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{AUDIT_PREFIX}{name}")
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, f"{path}/{AUDIT_PREFIX}{name}")
             gone.append(int(number))
     return sorted(gone)
