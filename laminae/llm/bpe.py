@@ -38,6 +38,21 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+class Pieces(dict):
+    """Packed ids of each piece of a chunk, remembered: chunks differ by punctuation more than by words."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = np.array(self.encoder.encode_piece(piece.encode()), "<i4").tobytes()
+        if len(piece) <= _LONGEST:
+            if len(self) >= _REMEMBER:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Exact BPE of single pieces, by longest matches and adjacent compatibility."""
 
@@ -52,6 +67,7 @@ class Encoder:
         self.fits: dict[tuple[int, int], bool] = {}
         self.shorter: dict[int, int] = {}
         self.chunks: dict[str, bytes] = {}
+        self.pieces = Pieces(self)
 
     def merge(self, text: bytes) -> list[int]:
         """The merges in order of rank, one after the other; only for the bytes of two tokens."""
@@ -110,8 +126,7 @@ class Encoder:
         return out
 
     def encode_chunk(self, chunk: str) -> bytes:
-        ids = [i for piece in self.split(chunk) for i in self.encode_piece(piece.encode())]
-        return np.array(ids, "<i4").tobytes()
+        return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
 
     def encode(self, text: str) -> bytes:
         """Packed little-endian 32-bit ids."""

@@ -17,7 +17,10 @@ rows are packed each for itself; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -30,7 +33,7 @@ from tokenizers import Tokenizer
 from laminae.llm.columns import list_array, texts
 
 TIERS = (4096, 2048, 1024, 512, 256)
-_REMEMBER, _LONGEST = 400_000, 64
+_REMEMBER, _LONGEST, _MARKS = 500_000, 64, ".,;:!?%$&*#"
 SCHEMA = (
     "doc_id long, start long, length long, ids array<int>, doc_tokens long, "
     "sequence_id long, offset long, tier int, step_group long"
@@ -38,30 +41,64 @@ SCHEMA = (
 
 
 class WordTokens:
-    """Ids of whole texts by a tokenizer that drops white space: words are remembered."""
+    """Ids of whole texts by a tokenizer that drops white space and case and keeps punctuation apart.
+
+    Words are remembered. A word of letters with punctuation behind it is looked up as these two parts,
+    letters of ASCII in lower case, which gives the same ids and far fewer different words."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        suffix = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
+        words = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if suffix and w.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, text: bytes) -> bytes:
-        """Packed little-endian ids. ASCII white space never takes part in a token."""
-        words, known = text.split(), self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > _REMEMBER:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._ids([w.decode("utf-8", "replace") for w in new])))
-        out = b"".join(map(known.__getitem__, words))
-        for w in new:
-            if len(w) > _LONGEST:
-                del known[w]
+        self.parts: dict[str, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.known) + len(words) > _REMEMBER:
+            self.known.clear()
+        if len(self.parts) + 2 * len(words) > _REMEMBER:
+            self.parts.clear()
+        split = []
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            core = text.rstrip(_MARKS)
+            if core.isalpha():
+                split.append((core.lower() if core.isascii() else core, text[len(core) :]))
+            else:
+                split.append((text, ""))
+        new = {p for pair in split for p in pair}.difference(self.parts)
+        plain = [p for p in new if p.isalpha() or (p and not p.strip(_MARKS))]
+        # each of these is one token run, closed by an id that ends a word: many are encoded as one text
+        for i in range(0, len(plain), 500):
+            some = plain[i : i + 500]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(some):
+                data = ids.tobytes()
+                self.parts.update((p, data[4 * u : 4 * v]) for p, u, v in zip(some, [0, *ends], ends))
+        rest = [p for p in new if p not in self.parts]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        self.parts.update((p, array("I", e.ids).tobytes()) for p, e in zip(rest, found))
+        self.known.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(words, split))
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Packed little-endian ids of each text. ASCII white space never takes part in a token."""
+        out = []
+        for i in range(0, len(texts), 64):
+            split = [t.split() for t in texts[i : i + 64]]
+            words = set().union(*split)
+            if new := words.difference(self.known):
+                if len(self.known) + len(new) > _REMEMBER:
+                    new = words
+                self._learn(list(new))
+            out += [b"".join(map(self.known.__getitem__, s)) for s in split]
+            for w in new:
+                if len(w) > _LONGEST:
+                    del self.known[w]
         return out
 
 
@@ -176,7 +213,7 @@ def pack(
     step_ids: int = 65_536,
 ) -> DataFrame:
     """One row for each piece, with its ids. Sequence numbers hold the task's number in their upper
-    bits. tiers are powers of two; a block is closed when it holds block_ids ids."""
+    bits. tiers are powers of two; a block is closed when it holds block_ids ids, looked at every 512 documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, end = word_tokens(path), np.array([end_id], "<u4").tobytes()
@@ -199,10 +236,12 @@ def pack(
 
         docs, ids, size = [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                docs.append(doc)
-                ids.append(of.encode(text.as_py()) + end)
-                size += len(ids[-1]) // 4
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                docs += part.column(0).to_pylist()
+                found = of.encode(part.column(1).to_pylist())
+                ids += [x + end for x in found]
+                size += sum(map(len, found)) // 4
                 if size >= block_ids:
                     yield from close(docs, ids)
                     docs, ids, size = [], [], 0
