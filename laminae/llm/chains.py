@@ -248,7 +248,7 @@ def passages(
     wanted = ends(0, "doc_id", "part", "x_from", "x_to").unionAll(ends(1, "ref_id", "ref_part", "y_from", "y_to"))
     # documents that very many chains ask for are sent out several times; there are at most 10,000 of them
     total = 2 * linked.count()
-    most = max(20_000, total // 10_000)
+    most = max(2_000, total // 10_000)
     copies = {(r["doc_id"], r["part"]): -(-r["n"] // most) for r in wanted.groupBy("doc_id", "part").agg(F.count("*").alias("n")).filter(F.col("n") > most).collect()}
     names = "doc_id long, part long, salt int, chain long, side int, low int, high int, text binary"
 
