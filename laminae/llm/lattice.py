@@ -14,7 +14,9 @@ in training is one more edge, from its start to its end, weighted by its discoun
 tokens; what the discount frees is shared by all spellings, so probabilities add up to at most one.
 Within a text, words are drawn from these probabilities with reinforcement (a Polya urn of the given
 concentration): a word already seen in the text is likelier to come again. The product does not
-depend on the order, so the score is a sum over the text's distinct words.
+depend on the order, so the score is a sum over the text's distinct words. For the frequent words it
+is a mixture: a text is drawn from all languages together or from one of the most frequent ones, each
+with its own counts of these words; the languages are known of training rows only.
 
 The corpus enters as one table of distinct words with their counts. Each distinct word's lattice is
 summed once, wherever the word occurs. Documents meet that table by word: the words of at least
@@ -44,7 +46,7 @@ from laminae.session import cut_lineage
 
 START = "▁"
 END = b""  # no word is empty, so this stands for the end
-HEAVY, DISCOUNT, CONCENTRATION, ROUNDS, FLUSH = 100_000, 0.5, 1000.0, 1, 200_000
+HEAVY, DISCOUNT, CONCENTRATION, SMOOTH, ROUNDS, FLUSH = 100_000, 0.5, 2000.0, 200.0, 1, 200_000
 
 
 class Lattice:
@@ -213,6 +215,7 @@ def score(
     discount: float = DISCOUNT,
     concentration: float = CONCENTRATION,
     rounds: int = ROUNDS,
+    languages: int = 8,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each whole text."""
     counts = cut_lineage(word_counts(df, folds, id_col, text_col, lang_col), "words")
@@ -243,25 +246,33 @@ def score(
         "word", "n", F.log10((F.col("n") + 0.1) / (n_all + 0.1 * (kinds + 1))).alias("base"), (drawn + log(concentration)).alias("mass")
     )
     frequent = table.filter((F.col("n") > 0) & (F.col("n") * heavy >= n_all)).collect()  # at most heavy rows
-    shared = df.sparkSession.sparkContext.broadcast({bytes(r["word"]): (r["base"], r["mass"]) for r in frequent})
+    shared = df.sparkSession.sparkContext.broadcast(_by_language(counts, [(bytes(r["word"]), r["base"], r["mass"]) for r in frequent], languages))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each text, of what the shared words give, and one for each other word in it."""
-        often = shared.value
+        place, base_of, mass_of, prior = shared.value
+        plain = np.exp(mass_of)
         for batch in batches:
             at, word, times, tokens, known, base, full = [], [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
                 words = text.as_py().lower().split()
                 words.append(END)
-                got_n, got_base, got_full = 0, 0.0, lgamma(concentration) - lgamma(concentration + len(words))
+                met, n = [], []
                 for w, c in Counter(words).items():
-                    hit = often.get(w)
+                    hit = place.get(w)
                     if hit is None:
                         at.append(i), word.append(w), times.append(c)
                     else:
-                        got_n, got_base, got_full = got_n + c, got_base + c * hit[0], got_full + rising(hit[1], c)
+                        met.append(hit), n.append(c)
                 at.append(i), word.append(None), times.append(0)
-                tokens.append(len(words)), known.append(got_n), base.append(got_base), full.append(got_full)
+                counted = np.array(n, np.int64)
+                tokens.append(len(words)), known.append(sum(n)), base.append(float((base_of[met] * counted).sum()))
+                # the likelihood under each language, then the mixture
+                drawn = prior + mass_of[:, met].sum(axis=1)
+                for j in np.flatnonzero(counted > 1):
+                    drawn += [lgamma(m + n[j]) - lgamma(m + 1) for m in plain[:, met[j]].tolist()]
+                top = drawn.max()
+                full.append(top + log(np.exp(drawn - top).sum()) + lgamma(concentration) - lgamma(concentration + len(words)))
             ends = np.flatnonzero(np.array(times) == 0)
 
             def sparse(values: list, kind: type) -> pa.Array:
@@ -304,9 +315,26 @@ def score(
     )
 
 
-def rising(log_mass: float, times: int) -> float:
-    """Natural log of mass * (mass + 1) * ... , so many factors: drawing a word again and again."""
-    if times == 1:
-        return log_mass
-    mass = exp(log_mass)
-    return log_mass + lgamma(mass + times) - lgamma(mass + 1)
+def _by_language(counts: DataFrame, words: list[tuple[bytes, float, float]], languages: int) -> tuple:
+    """The shared words' places, base scores and log masses under all languages together (first) and under
+    each of the most frequent ones, with the log share of each.
+
+    In a language, the shared words keep their total mass and divide it by their counts in the language,
+    smoothed by their own masses."""
+    place = {w: i for i, (w, _, _) in enumerate(words)}
+    base, mass = np.array([b for _, b, _ in words]), np.array([m for _, _, m in words])
+    spark = counts.sparkSession
+    usual = counts.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0").orderBy(F.desc("n"), "lang").limit(languages).collect()
+    if not words or not usual:
+        return place, base, mass[None, :], np.zeros(1)
+    listed = F.broadcast(spark.createDataFrame([(bytearray(w),) for w in place], "word binary"))  # at most heavy rows
+    rows = counts.filter(F.col("n") > 0).filter(F.col("lang").isin([r["lang"] for r in usual])).join(listed, "word").select("word", "lang", "n").collect()
+    own = {r["lang"]: np.zeros(len(words)) for r in usual}
+    for r in rows:
+        own[r["lang"]][place[bytes(r["word"])]] = r["n"]
+    total = np.exp(mass).sum()
+    shape = np.exp(mass) / total
+    each = [np.log(total * (n + SMOOTH * shape) / (n.sum() + SMOOTH)) for n in own.values()]
+    share = np.array([r["n"] for r in usual], np.float64)
+    prior = np.log(np.append([0.1], 0.9 * share / share.sum()))
+    return place, base, np.stack([mass, *each]), prior
