@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS, SAMPLE = 20, 6000
+BITS, SAMPLE = 20, 3000
 _WORD = re.compile(r"\w+").findall
 _REMEMBER = 300_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
