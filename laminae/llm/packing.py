@@ -33,7 +33,7 @@ from tokenizers import Tokenizer
 from laminae.llm.columns import list_array, texts
 
 TIERS = (4096, 2048, 1024, 512, 256)
-_REMEMBER, _LONGEST, _MARKS = 500_000, 64, ".,;:!?%$&*#"
+_REMEMBER, _LONGEST, _MARKS = 250_000, 64, ".,;:!?%$&*#"
 SCHEMA = (
     "doc_id long, start long, length long, ids array<int>, doc_tokens long, "
     "sequence_id long, offset long, tier int, step_group long"
