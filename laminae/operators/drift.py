@@ -88,6 +88,17 @@ def drift_record(spark: SparkSession, table: str, schema: T.StructType, drift: D
 _WIDER = ["tinyint", "smallint", "int", "bigint", "float", "double"]
 
 
+_WHOLE_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _digits(kind: T.DataType) -> tuple[int, int] | None:
+    """Precision and scale of a decimal or of a whole number; None for other types."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision, kind.scale
+    whole = _WHOLE_DIGITS.get(kind.simpleString())
+    return (whole, 0) if whole else None
+
+
 def _common_type(a: T.DataType, b: T.DataType) -> str:
     x, y = a.simpleString(), b.simpleString()
     if x == y:
@@ -97,6 +108,15 @@ def _common_type(a: T.DataType, b: T.DataType) -> str:
         if {x, y} & {"bigint", "int"} and {x, y} & {"float"}:
             return "double"
         return max(x, y, key=_WIDER.index)
+    digits = [_digits(t) for t in (a, b)]
+    if None not in digits:
+        scale = max(s for _, s in digits)
+        precision = max(p - s for p, s in digits) + scale
+        if precision > 38:
+            raise ValueError(f"no decimal holds both {x} and {y}")
+        return f"decimal({precision},{scale})"
+    if isinstance(a, T.DecimalType) and y in ("float", "double") or isinstance(b, T.DecimalType) and x in ("float", "double"):
+        return "double"
     if {x, y} <= {"date", "timestamp", "timestamp_ntz"}:
         return "timestamp" if "timestamp" in (x, y) else "timestamp_ntz"
     return "string"

@@ -128,20 +128,21 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     counted = (
         df.select(F.inline(cells)).where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
     )
-    small = counted.groupBy("column_name").agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") <= MAX_CATEGORIES)
+    small = counted.groupBy("column_name").agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") < MAX_CATEGORIES)
     return counted.join(small, "column_name", "left_semi")
 
 
 def countable_columns(df: DataFrame) -> list[str]:
-    """Boolean columns, and categorical ones whose sketched distinct count is below the limit.
-    The sketch comes back as one row, so wide key columns are never counted value by value."""
+    """Boolean columns, and categorical ones that may have fewer distinct values than the limit.
+    A sketch, taken with twice the limit, only spares wide key columns being counted value by value;
+    `value_counts` decides on exact counts."""
     fields = profiled_columns(df)
     kinds = {f.name: classify(f.name, f.dataType) for f in fields}
     categorical = [n for n, k in kinds.items() if k == "categorical"]
     found = [n for n, k in kinds.items() if k == "boolean"]
     if categorical:
         row = df.agg(*[F.approx_count_distinct(f"`{n}`").alias(n) for n in categorical]).head()
-        found += [n for n in categorical if 0 < row[n] < MAX_CATEGORIES]
+        found += [n for n in categorical if 0 < row[n] < 2 * MAX_CATEGORIES]
     return found
 
 

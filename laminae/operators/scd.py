@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from laminae.operators.drift import evolve_union
 from laminae.operators.ordered import celled, day_segment, same_keys
 
 # Interval columns of a history table and the default delete markers.
@@ -156,7 +157,7 @@ def cdc_scd1(
     marked = events.withColumn("_deleted", delete_when if delete_when is not None else F.lit(False))
     marked = marked.drop(*[c for c in (except_columns or []) if c not in seq])
     if state is not None:
-        marked = state.unionByName(marked)
+        marked = evolve_union(state, marked)
     newest = latest_per_key(marked, keys, seq)
     if keep_tombstones:
         return newest

@@ -63,15 +63,21 @@ def topk(
 
 def ann(df: DataFrame, vector: str, query: list[float], key: str, k: int = NUM_RESULTS, tables: int = 8, width: float = 2.0, seed: int = 7) -> DataFrame:
     """Approximate search by random projections on unit vectors, whose Euclidean order is the
-    cosine order. Candidates are re-scored exactly."""
+    cosine order. Candidates are re-scored exactly; there are k of them unless the table has fewer rows."""
     if not query:
         raise ValueError("a query vector is required")
     unit = Normalizer(inputCol="_raw", outputCol="_unit").transform(df.withColumn("_raw", array_to_vector(F.col(vector))))
-    lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hashes", numHashTables=tables, bucketLength=width, seed=seed)
     size = sum(float(x) ** 2 for x in query) ** 0.5
     target = Vectors.dense([float(x) / size for x in query])
-    near = lsh.fit(unit).approxNearestNeighbors(unit, target, k)
-    return near.select(key, cosine(F.col(vector), query).alias("score")).orderBy(F.col("score").desc(), F.col(key))
+    wanted = min(k, unit.count())
+    for wider in (1, 2, 4):
+        lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hashes", numHashTables=tables, bucketLength=width * wider, seed=seed)
+        near = lsh.fit(unit).approxNearestNeighbors(unit, target, k)
+        found = cut_lineage(near.select(key, cosine(F.col(vector), query).alias("score")), "ann")  # at most k rows
+        if found.count() >= wanted:
+            return found.orderBy(F.col("score").desc(), F.col(key))
+    # rows that lie opposite the query in every table share no bucket of any width
+    return topk(df, vector, query, key, k, columns=[key])
 
 
 def upsert(index: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -130,17 +136,23 @@ def bm25(df: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
     return base.where(hit).select(key, score.alias("keyword_score"))
 
 
+def _ranked(scored: DataFrame, score: str, key: str, rank: str) -> DataFrame:
+    """The exact position of every row by falling score: rows are sorted in ranges, numbered within their
+    range, and shifted by the sizes of the ranges before it (one small row for each range)."""
+    order = [F.col(score).desc(), F.col(key)]
+    placed = cut_lineage(scored.select(key, score).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranked")
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    shifts = sizes.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_shift"))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return placed.withColumn("_inside", inside).join(shifts, "_range").select(key, (F.col("_inside") + F.col("_shift")).alias(rank))
+
+
 def hybrid(
-    vectors: DataFrame, vector: str, query: list[float], documents: DataFrame, text: str, terms: list[str], key: str, k: int = NUM_RESULTS, depth: int = 100
+    vectors: DataFrame, vector: str, query: list[float], documents: DataFrame, text: str, terms: list[str], key: str, k: int = NUM_RESULTS
 ) -> DataFrame:
-    """Reciprocal rank fusion of the `depth` best rows by cosine and by keyword score (both lists
-    are top-`depth` results by definition of the fusion, so ranking them is a bounded sort)."""
-    by_vector = topk(vectors, vector, query, key, depth)
-    by_words = bm25(documents, key, text, terms).orderBy(F.col("keyword_score").desc(), F.col(key)).limit(depth)
-    rank = lambda score: F.row_number().over(W.orderBy(F.col(score).desc(), F.col(key)))
-    both = (
-        by_vector.select(key, rank("score").alias("_vr"))
-        .join(by_words.select(key, rank("keyword_score").alias("_kr")), key, "full_outer")
-    )
+    """Reciprocal rank fusion of all rows by cosine and by keyword score."""
+    by_vector = _ranked(vectors.withColumn("score", cosine(F.col(vector), query)), "score", key, "_vr")
+    by_words = _ranked(bm25(documents, key, text, terms), "keyword_score", key, "_kr")
+    both = by_vector.join(by_words, key, "full_outer")
     part = lambda r: F.coalesce(1.0 / (F.lit(RRF_CONSTANT) + F.col(r)), F.lit(0.0))
     return both.select(key, (part("_vr") + part("_kr")).alias("score")).orderBy(F.col("score").desc(), F.col(key)).limit(k)

@@ -153,7 +153,17 @@ def _changes(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFra
     order = [c.sequence_by_column or "_ingestion_timestamp"]
     gone = scd.is_delete(c.operation_column, list(c.delete_values)) if c.operation_column in loaded.columns else None
     if c.scd_type == 2 and key:
-        state = scd.cdc_scd2(loaded, key, order, gone, [c.operation_column, *AUDIT_COLUMNS])
+        # Every delivery is kept, so that the history of a key can be rebuilt from all its events; one
+        # delivered twice changes nothing. Keys without new events keep the versions they have.
+        place = run.path("raw", c.target_name)
+        number = max(map(int, versions.committed(run.spark, place, "_batch_id=")), default=0) + 1
+        loaded.write.mode("overwrite").parquet(f"{place}/_batch_id={number}")
+        log = run.spark.read.option("mergeSchema", "true").parquet(place).drop("_batch_id")
+        rules = dict(seq=order, delete_when=gone, except_columns=[c.operation_column, *AUDIT_COLUMNS])
+        if prev is None:
+            state = scd.cdc_scd2(log, key, **rules)
+        else:
+            state = scd.merge_history(prev, log, run.spark.read.parquet(f"{place}/_batch_id={number}"), key, **rules)
     else:
         state = scd.cdc_scd1(loaded, key, order, gone, [c.operation_column], state=prev, keep_tombstones=bool(key))
     compare = [*key, scd.START] if c.scd_type == 2 and key else key

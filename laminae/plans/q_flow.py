@@ -171,8 +171,11 @@ def st_anomaly_route(spark, sf):
     """Outliers routed by a stream that reads the log in order of time."""
     rows = Tables(spark, sf).events.select("user_id", "ts", "event_id", "value")
     path = scratch_path(spark, "anomaly")
-    for i, (low, high) in enumerate([("2024-01-01", "2024-01-16"), ("2024-01-16", "2024-02-01")]):
-        rows.where((F.col("ts") >= at(low)) & (F.col("ts") < at(high))).coalesce(1).write.parquet(f"{path}/in/{i}")
+    # two deliveries, parted at the median time and open at both ends
+    middle = F.lit(rows.agg(F.percentile_approx("ts", 0.5)).head()[0]).cast("timestamp_ntz")
+    later = F.coalesce(F.col("ts") >= middle, F.lit(False))
+    for i, part in enumerate([~later, later]):
+        rows.where(part).coalesce(1).write.parquet(f"{path}/in/{i}")
         stream = files.stream_files(spark, f"{path}/in/*", schema=rows.schema)
         anomalies.route(stream, ["user_id"], ["ts", "event_id"], "value", f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out/alerts").select("event_id", "user_id", "value", "anomaly_flag")

@@ -184,7 +184,7 @@ def metric_joins(spark, sf):
 )
 def metric_query(spark, sf):
     return metrics.query(
-        order_metrics(spark, sf), ["Order Count", "Customers"], ["Order Month", "Order Status"], where="`Order Year` = 1999", order_by="ALL", limit=100
+        order_metrics(spark, sf), ["Order Count", "Customers"], ["Order Month", "Order Status"], where="`Order Year` = 1999", order_by="ALL"
     )
 
 

@@ -1,8 +1,9 @@
 """Versions of the given tables as they would have been delivered on past dates.
 
-A load job sees one snapshot a day; here each is computed from the whole orders table: the
-customers with an order in the year before the date, with what they had ordered by then. Between
-two dates customers appear, change and drop out.
+A load job sees one snapshot a day; here each is computed from the orders table: the customers with an
+order before the date, with what they had ordered by then. The last date lies past the newest
+order, so every order counts. A rule on key and year leaves some customers out of each snapshot,
+so that between two dates customers appear, change, drop out and come back.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from pyspark.sql import functions as F
 
 from laminae.plans.registry import at, money
 
-DATES = ["1998-01-01", "1999-01-01", "2000-01-01"]
+DATES = ["1998-01-01", "1999-01-01", "2002-01-01"]
+LEFT_OUT = 11  # one customer in so many is missing from a snapshot
 
 
 def active_customers(orders: DataFrame, date: str) -> DataFrame:
-    window = (F.col("o_orderdate") < at(date)) & (F.col("o_orderdate") >= at(date) - F.expr("INTERVAL 365 DAYS"))
-    return orders.where(window).groupBy("o_custkey").agg(
+    present = (F.col("o_custkey") + int(date[:4])) % LEFT_OUT != 0
+    return orders.where((F.col("o_orderdate") < at(date)) & present).groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum(money("o_totalprice")).cast("double").alias("total_spent"),
         F.max("o_orderdate").alias("last_order"),
@@ -26,7 +28,7 @@ def active_customers(orders: DataFrame, date: str) -> DataFrame:
 
 def active_sql(date: str) -> str:
     return f"""SELECT o_custkey, COUNT(*) AS order_count, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spent, MAX(o_orderdate) AS last_order
-FROM orders WHERE o_orderdate < TIMESTAMP '{date}' AND o_orderdate >= TIMESTAMP '{date}' - INTERVAL 365 DAY GROUP BY o_custkey"""
+FROM orders WHERE o_orderdate < TIMESTAMP '{date}' AND (o_custkey + {int(date[:4])}) % {LEFT_OUT} <> 0 GROUP BY o_custkey"""
 
 
 def history_sql(dates: list[str], tracked: list[str], values: list[str]) -> str:

@@ -185,6 +185,27 @@ def test_change_log_with_deletes(spark, run_dir):
     assert sorted((r.k, r.v) for r in got.collect()) == [(1, "a"), (3, "x")]
 
 
+def test_history_of_a_change_log_from_new_events_only(spark, run_dir):
+    go = one_table(spark, run_dir, raw(strategy="cdc", sequence_by_column="n", stored_as_scd_type=2))
+    ddl = "k int, n timestamp, v string, op string"
+    day = lambda d: datetime(2024, 1, d)
+    first = [(1, day(1), "a", "c"), (1, day(3), "b", "u"), (2, day(2), "x", "c")]
+    later = [(1, day(2), "late", "u"), (3, day(4), "new", "c"), (1, day(3), "b", "u")]
+    go(spark.createDataFrame(first, ddl), 0, "bronze")
+    got, _ = go(spark.createDataFrame(later, ddl), 1, "bronze")
+    versions_of = lambda df: sorted((r.k, r.v, r[scd.START], r[scd.END] or datetime.max) for r in df.collect())
+    whole = scd.cdc_scd2(spark.createDataFrame(first + later, ddl), ["k"], ["n"], scd.is_delete("op"), ["op"])
+    assert versions_of(got) == versions_of(whole) and len(versions_of(got)) == 5
+    assert sum(spark.read.parquet(f"{run_dir}/raw/t").groupBy("_batch_id").count().toPandas()["count"]) == 6
+
+
+def test_change_log_takes_a_new_column(spark, run_dir):
+    go = one_table(spark, run_dir, raw(strategy="cdc", sequence_by_column="n"))
+    go(spark.createDataFrame([(1, 1, "a", "c")], "k int, n int, v string, op string"), 0)
+    got, _ = go(spark.createDataFrame([(2, 2, "b", "c", 1.5)], "k int, n int, v string, op string, w double"), 1)
+    assert sorted((r.k, r.v, r.w) for r in got.collect()) == [(1, "a", None), (2, "b", 1.5)]
+
+
 def test_schema_change_is_absorbed_or_refused(spark, run_dir):
     go = one_table(spark, run_dir, raw())
     go(spark.createDataFrame([(1, "a")], "k int, v string"), 0)

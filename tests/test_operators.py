@@ -319,3 +319,36 @@ def test_bm25_counts_whole_words(spark):
     docs = spark.createDataFrame([(1, "The the, THE!"), (2, "other things; then"), (3, "the end"), (4, "")], "id int, text string")
     got = {r.id: r.keyword_score for r in vectors.bm25(docs, "id", "text", ["the"]).collect()}
     assert set(got) == {1, 3} and got[1] > got[3]
+
+
+def test_decimals_widen_without_losing_digits():
+    from pyspark.sql import types as T
+
+    from laminae.operators.drift import _common_type
+
+    assert _common_type(T.DecimalType(12, 2), T.DecimalType(18, 4)) == "decimal(18,4)"
+    assert _common_type(T.DecimalType(12, 2), T.IntegerType()) == "decimal(12,2)"
+    assert _common_type(T.LongType(), T.DecimalType(12, 2)) == "decimal(21,2)"
+    assert _common_type(T.DecimalType(12, 2), T.DoubleType()) == "double"
+    with pytest.raises(ValueError):
+        _common_type(T.DecimalType(38, 0), T.DecimalType(38, 10))
+
+
+def test_ann_returns_k_rows_and_hybrid_ranks_all(spark):
+    import numpy as np
+
+    from laminae.operators import vectors
+
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(300)]
+    table = spark.createDataFrame(rows, "id long, v array<double>")
+    assert vectors.ann(table, "v", rows[0][1], "id", 300).count() == 300
+    docs = spark.createDataFrame([(i, "the " * (i % 7 + 1) + f"x{i}") for i in range(300)], "id long, text string")
+    keywords = vectors.bm25(docs, "id", "text", ["the"]).collect()
+    place = {r.id: n for n, r in enumerate(sorted(keywords, key=lambda r: (-r.keyword_score, r.id)), 1)}
+    q = np.array(rows[0][1])
+    cos = {i: float(np.dot(q, v) / np.linalg.norm(q) / np.linalg.norm(v)) for i, v in rows}
+    near = {i: n for n, i in enumerate(sorted(cos, key=lambda i: (-cos[i], i)), 1)}
+    want = {i: 1 / (vectors.RRF_CONSTANT + near[i]) + 1 / (vectors.RRF_CONSTANT + place[i]) for i in near}
+    got = {r.id: r.score for r in vectors.hybrid(table, "v", rows[0][1], docs, "text", ["the"], "id", 300).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-12 for i in got)
