@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds what goes to a Python worker at once by size, as texts may be long: Spark's own bound of
+    10,000 rows can hold any number of bytes. A session that sets a bound of its own keeps it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.conf.get(key, None):
+        spark.conf.set(key, BATCH_BYTES)
+
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
     """Only the id and the text as UTF-8 bytes (null text: empty), so other columns never clash."""
+    bound_batches(df.sparkSession)
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from laminae.llm.columns import bound_batches
+
 BITS, SAMPLE = 20, 6000
 _WORD = re.compile(r"\w+").findall
 _REMEMBER = 300_000
@@ -116,6 +118,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
           bits: int = BITS, sample: int = SAMPLE, settings: Ftrl = Ftrl()) -> tuple[np.ndarray, np.ndarray]:
     """Learns from at most sample rows of each label; returns places and weights. An id with both labels
     counts as 1."""
+    bound_batches(df.sparkSession)
     ids = df.select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     known = marks.filter("label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")).join(ids, "doc_id", "left_semi")

@@ -442,3 +442,27 @@ def test_op2_against_sql(spark):
     want = con.execute(queries.ORACLES["op2_warc_derivatives"]).fetchdf().sort_values("record_id").reset_index(drop=True)
     got = queries.op2_warc_derivatives(spark, sf).toPandas().sort_values("record_id").reset_index(drop=True)
     assert (got[want.columns] == want).all().all()
+
+
+def test_batches_are_bounded_by_bytes_unless_the_session_says_otherwise(spark):
+    import pyarrow as pa
+
+    from laminae.llm.columns import bound_batches, texts
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    try:
+        spark.conf.unset(key)
+        long = spark.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 100_000).alias("text"))
+        found = texts(long).mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in found) == 40 and max(r["bytes"] for r in found) < 6_000_000
+        spark.conf.set(key, "1m")
+        bound_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
