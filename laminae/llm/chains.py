@@ -4,9 +4,9 @@ Seeds are k-word sequences sampled by minimizers: of each run of `run` neighbour
 smallest hash, so any shared stretch of k + run - 1 words has a seed in common. Each seed is joined
 with its first occurrence in the corpus (smallest document, then place), which makes as many matches as
 seeds and never their square. The matches of one pair of documents are chained: in order of place in
-both texts, each match takes the predecessor with the best score less a cost for the words skipped,
-found through a Fenwick tree over the places in the other text. Chains are then aligned word by word,
-extended at both ends, and passages of at least `least` words and `similar` identity are returned.
+both texts, each match takes, of the predecessors within the gap in both texts, the one with the best score
+less a cost for the words skipped. Chains are then aligned word by word, extended at both ends, and passages
+of at least `least` words and `similar` identity are returned.
 
 Defined cases: null and empty texts have no seeds; rows that share an id are one document, its texts told
 apart by a hash, and a null id takes part in nothing; passages within one document are matched as well,
@@ -69,11 +69,25 @@ def seeds(h: np.ndarray, k: int, run: int) -> tuple[np.ndarray, np.ndarray]:
     return mers[at], at.astype(np.int32)
 
 
+def _paths(best: list[float], before: list[int]) -> list[list[int]]:
+    used, chains = [False] * len(best), []
+    for j in sorted(range(len(best)), key=lambda j: -best[j]):
+        path = []
+        while j >= 0 and not used[j]:
+            used[j] = True
+            path.append(j)
+            j = before[j]
+        if path:
+            chains.append(path[::-1])
+    return chains
+
+
 def chain(x: np.ndarray, y: np.ndarray, k: int, gap: int, cost: float) -> list[list[int]]:
     """Chains of matches (x, y), each with the places of its matches in order; sorted by x, then y.
 
     best(j) = k + max over i with x_i < x_j, y_i < y_j of best(i) - cost * (skipped words), found as the prefix
-    maximum of best(i) + cost * (x_i + y_i) over y; a match that gains nothing begins a chain."""
+    maximum of best(i) + cost * (x_i + y_i) over y; a match that gains nothing begins a chain. The gap is tested after the
+    maximum only, so a far chain hides nearer ones; passages are found by chain_within."""
     ranks = np.unique(y)
     rank = (np.searchsorted(ranks, y) + 1).tolist()
     xs, ys, size = x.tolist(), y.tolist(), len(ranks)
@@ -97,16 +111,31 @@ def chain(x: np.ndarray, y: np.ndarray, k: int, gap: int, cost: float) -> list[l
         if i >= 0 and gain > 0 and max(xs[j] - xs[i], ys[j] - ys[i]) <= gap:
             new = min(k, xs[j] - xs[i], ys[j] - ys[i])
             best[j], before[j] = gain + new, i
-    used, chains = [False] * len(xs), []
-    for j in sorted(range(len(xs)), key=lambda j: -best[j]):
-        path = []
-        while j >= 0 and not used[j]:
-            used[j] = True
-            path.append(j)
-            j = before[j]
-        if path:
-            chains.append(path[::-1])
-    return chains
+    return _paths(best, before)
+
+
+def chain_within(x: np.ndarray, y: np.ndarray, k: int, gap: int, cost: float) -> list[list[int]]:
+    """Chains of matches (x, y), each with the places of its matches in order; sorted by x, then y.
+
+    best(j) = max over i with 0 < x_j - x_i <= gap, 0 < y_j - y_i <= gap of best(i) - cost * (skipped words) +
+    min(k, x_j - x_i, y_j - y_i); a match that gains nothing begins a chain. The matches within gap in x are looked through one by one: they
+    are at most gap times the few partners of a place."""
+    xs, ys = x.tolist(), y.tolist()
+    best, before, oldest, same = [0.0] * len(xs), [-1] * len(xs), 0, 0
+    for j in range(len(xs)):
+        xj, yj = xs[j], ys[j]
+        if xs[same] < xj:
+            same = j  # matches at the same place in x never follow each other
+        while xs[oldest] < xj - gap:
+            oldest += 1
+        best[j] = float(k)
+        for i in range(oldest, same):
+            dx, dy = xj - xs[i], yj - ys[i]
+            if 0 < dy <= gap and (gain := best[i] - cost * (dx + dy)) > 0:
+                value = gain + min(k, dx, dy)
+                if value > best[j] or before[j] < 0:
+                    best[j], before[j] = value, i
+    return _paths(best, before)
 
 
 def align(a: np.ndarray, b: np.ndarray) -> int:
@@ -210,7 +239,7 @@ def chains(found: DataFrame, k: int = K, span: int = LEAST - 2 * (K + RUN), gap:
             if b - a < 2 or frame[4, b - 1] + k - frame[4, a] < span:
                 continue
             x, y = frame[4, a:b], frame[5, a:b]
-            for path in chain(x, y, k, gap, cost):
+            for path in chain_within(x, y, k, gap, cost):
                 i, j = path[0], path[-1]
                 if min(x[j] - x[i], y[j] - y[i]) + k >= span:
                     doc, part, ref, ref_part = frame[:4, a].tolist()

@@ -157,6 +157,40 @@ def test_chains_by_fenwick_tree_equal_all_pairs():
         assert math.isclose(score, brute_chain(x.tolist(), y.tolist(), 4, 30, 0.1), abs_tol=1e-9)
 
 
+def brute_chain_within(x, y, k, gap, cost):
+    best = []
+    for j in range(len(x)):
+        near = [i for i in range(j) if 0 < x[j] - x[i] <= gap and 0 < y[j] - y[i] <= gap]
+        gain = max((best[i] - cost * (x[j] - x[i] + y[j] - y[i]) + min(k, x[j] - x[i], y[j] - y[i]) for i in near if best[i] > cost * (x[j] - x[i] + y[j] - y[i])), default=k)
+        best.append(gain)
+    return best
+
+
+def test_chains_take_the_best_predecessor_within_the_gap():
+    rng = np.random.default_rng(15)
+    for _ in range(200):
+        n, gap = int(rng.integers(1, 60)), int(rng.integers(5, 40))
+        pairs = np.array(sorted({(int(a), int(b)) for a, b in rng.integers(0, 80, (n, 2))}))
+        x, y = pairs[:, 0], pairs[:, 1]
+        paths = chains.chain_within(x, y, 4, gap, 0.1)
+        assert sorted(i for p in paths for i in p) == list(range(len(x)))
+        top, score = paths[0], 4.0
+        for a, b in zip(top, top[1:]):
+            assert 0 < x[b] - x[a] <= gap and 0 < y[b] - y[a] <= gap
+            score += -0.1 * (x[b] - x[a] + y[b] - y[a]) + min(4, x[b] - x[a], y[b] - y[a])
+        assert math.isclose(score, max(brute_chain_within(x.tolist(), y.tolist(), 4, gap, 0.1)), abs_tol=1e-9)
+
+
+def test_passages_after_a_gap_are_found(spark):
+    rng = np.random.default_rng(16)
+    fresh = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    whole, one, two = fresh(400), fresh(60), fresh(60)
+    rows = [(1, whole), (2, whole[:200] + fresh(50) + whole[200:]), (3, one + fresh(60) + two), (4, one + fresh(60) + two)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    found = sorted((r.doc_id, r.start_word, r.n_words) for r in chains.passages(docs).collect())
+    assert found == [(2, 0, 200), (2, 250, 200), (4, 0, 60), (4, 120, 60)]
+
+
 def test_repeated_passages(spark, odd, empty):
     rng = np.random.default_rng(7)
     fresh = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
