@@ -2,11 +2,13 @@
 
 Seeds are k-word sequences sampled by minimizers: of each run of `run` neighbouring k-mers the one with the
 smallest hash, so any shared stretch of k + run - 1 words has a seed in common. Each seed is joined
-with its first occurrence in the corpus (smallest document, then place), which makes as many matches as
-seeds and never their square. The matches of one pair of documents are chained: in order of place in
+with its first occurrence in the corpus (smallest document, then place), and so is each run of 2, 4 and 8
+repeated seeds that no single one of these places holds: a longer passage finds its own first holder. That
+makes a fixed number of matches a seed and never their square. The matches of one pair of documents are chained: in order of place in
 both texts, each match takes, of the predecessors within the gap in both texts, the one with the best score
 less a cost for the words skipped. Chains are then aligned word by word, extended at both ends, and passages
-of at least `least` words and `similar` identity are returned.
+of at least `least` words and `similar` identity are returned, shorter ones too where they adjoin or overlap
+to `least` words, over different places.
 
 Defined cases: null and empty texts have no seeds; rows that share an id are one document, its texts told
 apart by a hash, and a null id takes part in nothing; passages within one document are matched as well,
@@ -24,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,8 +172,9 @@ def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts(df, id_col, text_col, part=F.crc32(text).cast("long")).filter("doc_id IS NOT NULL")
 
 
-def matches(docs: DataFrame, k: int = K, run: int = RUN) -> DataFrame:
-    """doc_id, part, pos, ref_id, ref_part, ref_pos: each seed with its first occurrence elsewhere.
+def matches(docs: DataFrame, k: int = K, run: int = RUN, gap: int = GAP) -> DataFrame:
+    """doc_id, part, pos, ref_id, ref_part, ref_pos: each seed with its first occurrence elsewhere, and the seeds
+    of runs of 2, 4 and 8 with the first occurrence of the whole run.
 
     The first pass counts seeds and finds their first occurrences, combined in the map tasks; the second
     reads the texts again and sends only those seeds on that may be repeated."""
@@ -206,8 +209,76 @@ def matches(docs: DataFrame, k: int = K, run: int = RUN) -> DataFrame:
             yield pa.RecordBatch.from_arrays([columns[0], batch.column(0).take(rows), batch.column(2).take(rows), columns[1]], ["seed", "doc_id", "part", "pos"])
 
     placed = docs.mapInArrow(again, "seed long, doc_id long, part long, pos int")
+    found = _with_runs(placed.join(repeated, "seed"), gap)
     same = (F.col("doc_id") == F.col("ref_id")) & (F.col("part") == F.col("ref_part")) & (F.col("pos") <= F.col("ref_pos"))
-    return placed.join(repeated, "seed").filter(~same).drop("seed")
+    alone = found.filter("key IS NULL").select(*_MATCH).filter(~same)
+    runs = found.filter("key IS NOT NULL").select("key", "doc_id", "part", "pos", "offsets")
+    holders = runs.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "part", "pos")).alias("ref")).filter("n > 1")
+    holders = holders.select("key", F.col("ref.doc_id").alias("ref_id"), F.col("ref.part").alias("ref_part"), F.col("ref.pos").alias("ref_pos"))
+    joined = runs.join(holders, "key").filter(~same).withColumn("by", F.explode("offsets"))
+    return alone.unionAll(joined.withColumn("pos", F.col("pos") + F.col("by")).withColumn("ref_pos", F.col("ref_pos") + F.col("by")).select(*_MATCH))
+
+
+_MATCH = ["doc_id", "part", "pos", "ref_id", "ref_part", "ref_pos"]
+
+
+def split_runs(seed: np.ndarray, pos: np.ndarray, refs: np.ndarray, gap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of one text's repeated seeds, in order of place: keys, places and offsets of the runs of 2, 4 and 8 whose
+    seeds first stand in different places (refs: document, part, place). Seeds and distances decide about this
+    alone, so all copies of a run agree; where one place holds the run, its seeds' matches lead there anyway."""
+    step = np.diff(pos)
+    near = step <= gap
+    one = near & (refs[:2, 1:] == refs[:2, :-1]).all(axis=0) & (np.diff(refs[2]) == step)
+    key, size = seed, 1
+    while size < 8 and len(key) > size:
+        far = (pos[size : size + len(key) - size] - pos[: len(key) - size]).astype(np.uint64)
+        key = ((key[:-size] * _MIX) ^ (key[size:] + far * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(size))) * _MIX
+        key ^= key >> np.uint64(29)
+        size *= 2
+        window = np.lib.stride_tricks.sliding_window_view
+        at = np.flatnonzero(window(near, size - 1).all(axis=1) & ~window(one, size - 1).all(axis=1))
+        yield key[at], pos[at], window(pos, size)[at] - pos[at, None]
+
+
+def _with_runs(found: DataFrame, gap: int) -> DataFrame:
+    """The matches, and with a key those runs of neighbouring seeds that no single first occurrence holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: np.ndarray | None = None
+        for batch in batches:
+            frame = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(7)])
+            if held is not None:
+                frame = np.concatenate([held, frame], axis=1)
+            borders = np.flatnonzero((frame[:2, 1:] != frame[:2, :-1]).any(axis=0)) + 1
+            last = borders[-1] if len(borders) else 0
+            held = frame[:, last:]  # the next batch may go on with this text
+            if last:
+                yield from table(frame[:, :last], borders[:-1])
+        if held is not None and held.shape[1]:
+            yield from table(held, np.zeros(0, int))
+
+    def table(frame: np.ndarray, borders: np.ndarray) -> Iterator[pa.RecordBatch]:
+        fresh = np.ones(frame.shape[1], bool)  # equal rows of one id have the same places
+        fresh[1:] = (frame[:3, 1:] != frame[:3, :-1]).any(axis=0)
+        none = pa.nulls(int(fresh.sum()), pa.int64())
+        yield batch_of(frame[:6, fresh], none, pa.nulls(len(none), pa.list_(pa.int32())))
+        edges = [0, *borders.tolist(), frame.shape[1]]
+        for a, b in zip(edges, edges[1:]):
+            text = frame[:, a:b][:, fresh[a:b]]
+            for key, at, by in split_runs(text[6].view(np.uint64), text[2], text[3:6], gap):
+                if len(key):
+                    rows = np.zeros((6, len(key)), np.int64)
+                    rows[:2], rows[2] = text[:2, :1], at
+                    yield batch_of(rows, pa.array(key.view(np.int64)), pa.array(by.tolist(), pa.list_(pa.int32())))
+
+    def batch_of(rows: np.ndarray, key: pa.Array, offsets: pa.Array) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+        return pa.RecordBatch.from_arrays([*(pa.array(r, pa.int64()).cast(t) for r, t in zip(rows, kinds)), key, offsets], [*_MATCH, "key", "offsets"])
+
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.select(*_MATCH, "seed").repartition(n, "doc_id", "part").sortWithinPartitions("doc_id", "part", "pos")
+    made = "doc_id long, part long, pos int, ref_id long, ref_part long, ref_pos int, key long, offsets array<int>"
+    return cut_lineage(dealt.mapInArrow(run, made), "runs")
 
 
 _CHAIN = "chain long, doc_id long, part long, x_from int, x_to int, ref_id long, ref_part long, y_from int, y_to int, xs binary, ys binary"
@@ -238,7 +309,8 @@ def chains(found: DataFrame, k: int = K, span: int = LEAST - 2 * (K + RUN), gap:
         for a, b in zip(edges, edges[1:]):
             if b - a < 2 or frame[4, b - 1] + k - frame[4, a] < span:
                 continue
-            x, y = frame[4, a:b], frame[5, a:b]
+            fresh = np.append(True, (frame[4:, a + 1 : b] != frame[4:, a : b - 1]).any(axis=0))
+            x, y = frame[4, a:b][fresh], frame[5, a:b][fresh]
             for path in chain_within(x, y, k, gap, cost):
                 i, j = path[0], path[-1]
                 if min(x[j] - x[i], y[j] - y[i]) + k >= span:
@@ -363,7 +435,28 @@ def passages(
 
     identity = F.col("same_words") / F.greatest("n_words", "ref_words")
     result = met.mapInArrow(aligned, out).withColumn("identity", identity)
-    return result.filter((F.col("n_words") >= least) & (F.col("identity") >= similar)).distinct()
+    pieces = cut_lineage(result.filter(F.col("identity") >= similar).distinct(), "pieces")
+    return pieces.filter(F.col("n_words") >= least).unionByName(_joined(pieces).filter(F.col("n_words") >= least))
+
+
+def _joined(pieces: DataFrame) -> DataFrame:
+    """Adjoining or overlapping pieces of one text as one passage, where it is longer than each of them.
+
+    It names the place of its longest piece; its same words are those of the pieces, each counted for the words
+    that no piece before it covers."""
+    order = Window.partitionBy("doc_id", "part").orderBy("start_word", F.desc("n_words"), "ref_id", "ref_start_word")
+    covered = F.max(F.col("start_word") + F.col("n_words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = pieces.withColumn("end", F.col("start_word") + F.col("n_words")).withColumn("covered", covered)
+    marked = marked.withColumn("span", F.count_if(F.col("covered").isNull() | (F.col("start_word") > F.col("covered"))).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    added = F.greatest(F.lit(0), F.col("end") - F.greatest("start_word", F.coalesce("covered", "start_word")))
+    spans = marked.groupBy("doc_id", "part", "span").agg(
+        F.min("start_word").alias("start_word"),
+        (F.max("end") - F.min("start_word")).cast("int").alias("n_words"),
+        F.max(F.struct("n_words", (-F.col("ref_id")).alias("first"), (-F.col("ref_start_word")).alias("at"), "ref_id", "ref_start_word", "ref_words")).alias("longest"),
+        F.ceil(F.sum(added * F.col("identity")) - 1e-6).cast("int").alias("same_words"),
+    )
+    spans = spans.filter("n_words > longest.n_words").select("doc_id", "part", "start_word", "n_words", "longest.ref_id", "longest.ref_start_word", "longest.ref_words", "same_words")
+    return spans.withColumn("identity", F.col("same_words") / F.greatest("n_words", "ref_words"))
 
 
 def without(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

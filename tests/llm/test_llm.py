@@ -191,6 +191,24 @@ def test_passages_after_a_gap_are_found(spark):
     assert found == [(2, 0, 200), (2, 250, 200), (4, 0, 60), (4, 120, 60)]
 
 
+def test_passages_whose_parts_stand_in_different_earlier_places(spark):
+    rng = np.random.default_rng(17)
+    fresh = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    p, lines, again = fresh(80), [fresh(20) for _ in range(4)], fresh(20) * 100
+    rows = [(1, p[:40] + fresh(9)), (2, fresh(9) + p[40:]), (3, fresh(70) + p + fresh(9)), (4, fresh(30) + p + fresh(30))]
+    rows += [(10 + i, fresh(60) + lines[i] + fresh(60)) for i in (2, 0, 3, 1)] + [(i, fresh(40) + sum(lines, []) + fresh(40)) for i in (20, 21, 22)]
+    rows += [(30, again), (31, again)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    spans = chains.passages(docs)
+    covered = defaultdict(set)
+    for r in spans.collect():
+        assert r.n_words >= 50 and 0.8 <= r.identity <= 1
+        covered[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
+    assert covered[4] == set(range(30, 110)) and covered[3] == set(range(70, 150)) and not covered[1] | covered[2]
+    assert covered[21] == covered[22] == set(range(40, 120)) and covered[31] == set(range(2000))
+    assert any(r.ref_id == 3 and r.n_words == 80 for r in spans.filter("doc_id = 4").collect())
+
+
 def test_repeated_passages(spark, odd, empty):
     rng = np.random.default_rng(7)
     fresh = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
