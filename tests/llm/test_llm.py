@@ -339,6 +339,17 @@ def test_quality_rejects_junk(spark, odd, empty):
     assert quality.classify(empty, labels).count() == 0
 
 
+def test_quality_keeps_languages_without_trusted_rows(spark):
+    rng = np.random.default_rng(18)
+    own = lambda stem: [f"{stem}{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(own("word"), 60)), "en") for i in range(200)]
+    rows += [(1000 + i, " ".join(rng.choice(own("kelime"), 60)), "tr") for i in range(20)] + [(2000, " ".join(rng.choice(own("mot"), 60)), None)]
+    rows += [(3000, " ".join(f"{w}%%%" for w in rng.choice(own("word"), 60)), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.classify(docs, spark.createDataFrame([(i, 1) for i in range(150)], "doc_id long, quality int")).filter("keep").collect()}
+    assert kept >= {*range(1000, 1020), 2000} and 3000 not in kept
+
+
 def test_lattice_sums_all_segmentations():
     of = lattice.Lattice(PIECES)
 
