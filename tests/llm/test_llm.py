@@ -496,6 +496,33 @@ def test_pipeline_stages(spark, docs, odd):
         assert stage(spark, none, SF).count() == 0
 
 
+def test_pipeline_links_texts_of_similarity_08(spark):
+    from laminae.llm import shingles
+
+    rng = np.random.default_rng(19)
+    rows, wanted, apart = [], 0, set()
+    for i in range(150):
+        words = [f"w{j}" for j in rng.integers(0, 10**6, 200)]
+        edited = list(words)
+        for at in rng.choice(190, 2 if i % 2 else 4, replace=False):
+            edited[at] = "changed"
+        if i % 10 == 0:
+            edited[:60] = [f"v{j}" for j in rng.integers(0, 10**6, 60)]  # similar by half
+        a, b = ({tuple(w[j : j + 5]) for j in range(196)} for w in (words, edited))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited))]
+        wanted += len(a & b) / len(a | b) >= 0.8
+        apart |= {i} if len(a & b) / len(a | b) < 0.8 else set()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    roots = {r.hash: r.root for r in shingles.groups(docs).collect()}
+    of = {r.doc_id: roots.get(r.h, r.h) for r in docs.select("doc_id", shingles.text_hash(F.col("text")).alias("h")).collect()}
+    linked = {i for i in range(150) if of[2 * i] == of[2 * i + 1]}
+    assert not linked & apart and len(apart) >= 15
+    assert len(linked) >= 0.99 * wanted and wanted > 100
+    import corpus_pipeline
+
+    assert corpus_pipeline.one_of_each(spark, docs, SF).count() == 300 - len(linked)
+
+
 def test_op2_against_sql(spark):
     import duckdb
 
