@@ -523,6 +523,17 @@ def test_pipeline_links_texts_of_similarity_08(spark):
     assert corpus_pipeline.one_of_each(spark, docs, SF).count() == 300 - len(linked)
 
 
+def test_pipeline_removes_rows_not_ids(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(20)
+    a, b, c, d = (" ".join(f"w{j}" for j in rng.integers(0, 10**6, 80)) for _ in range(4))
+    rows = [(1, a), (1, a), (2, a), (2, b), (None, a), (3, c), (3, c), (None, d), (None, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.one_of_each(spark, docs, SF).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (3, c), (None, d)], key=str)
+
+
 def test_op2_against_sql(spark):
     import duckdb
 
