@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laminae.llm import bpe, chains, fingerprints, lattice, packing, prefix_forest, quality, simhash_tiles, toxicity, warc
+from laminae.llm import bpe, chains, dense_topk, fingerprints, lattice, packing, prefix_forest, quality, runs, simhash_tiles, spelling, toxicity, warc
 from laminae.llm.columns import held_out
 from laminae.session import cut_lineage
 
@@ -106,6 +108,48 @@ def op10_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of one text in ten with a tail that repeats its first few words; a null id changes nothing."""
+    n = len(words)
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(_table(spark, folder, "documents"), edit=repeated_tail)
+    # exponents as exact fractions; of equal ones the first stays, as runs come by start, then period
+    more = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
+    top = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(more(r, best), r).otherwise(best))
+    line = lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("(1000 * top.length) div top.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return spelling.variants(spelling.word_counts(docs, min_letters=spelling.MIN_LETTERS, min_count=spelling.MIN_COUNT, edit=spelling.drop_letter))
+
+
+def op13_dense_topk(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    found = dense_topk.search(rows.filter("vec_id % 50 = 0"), rows, 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,6 +169,9 @@ QUERIES = {
         op8_simhash_tiles,
         op9_fingerprints,
         op10_prefix_forest,
+        op11_periodic_runs,
+        op12_spelling_variants,
+        op13_dense_topk,
         pipeline,
     )
 }
@@ -173,4 +220,15 @@ SELECT {_sql_uuid("warc_type", "rid")} AS record_id, warc_type, rid AS refers_to
 FROM records
 """
 
-ORACLES: dict[str, str] = {"op2_warc_derivatives": _OP2}
+_OP13 = f"""
+WITH stored AS (
+  SELECT vec_id, list_transform(embedding, x -> floor({dense_topk.SCALE} * x::DOUBLE)) AS weights FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.weights, r.weights)::BIGINT AS score
+  FROM stored q JOIN stored r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op2_warc_derivatives": _OP2, "op13_dense_topk": _OP13}
