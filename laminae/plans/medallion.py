@@ -1,7 +1,8 @@
 """The layered run: bronze state by strategy, silver with quarantine, gold star.
 
 Every table's state is a folder of committed versions. A run that finds no change writes none, so
-running again on the same input leaves everything as it was.
+running again on the same input leaves everything as it was. Increments and change logs go through a
+journal: a run that dies at any write is carried on by the next one, which loses and doubles nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from laminae.operators import drift as schema_drift
 from laminae.operators import quality, reconcile, scd
 from laminae.operators.conform import conform
 from laminae.operators.control import Control
+from laminae.operators.journal import Entry, Journal
+from laminae.operators.ordered import same_keys
 from laminae.plans import gold as star
+from laminae.session import cut_lineage
 from laminae.sinks import versions
 
 Reader = Callable[[TableContract, object], DataFrame]
@@ -43,6 +47,8 @@ class Run:
     read: Reader
     at: datetime
     steps: list[Step] = field(default_factory=list)
+    keep_versions: int = 3
+    compact_after: int = 32
 
     def __post_init__(self):
         self.control = Control(self.spark, self.path("control"))
@@ -53,6 +59,9 @@ class Run:
     def stored(self, layer: str, table: str) -> DataFrame | None:
         return versions.read_version(self.spark, self.path(layer, table))
 
+    def journal(self, c: TableContract) -> Journal:
+        return Journal(self.spark, self.path("control/journal", c.target_name), self.path("raw", c.target_name))
+
     def commit(self, layer: str, table: str, df: DataFrame, key: list[str] | None = None) -> bool:
         """Write the next version. When it holds the same rows as the one before, it is taken back
         (until then readers see equal rows either way). Comparing what was written, instead of the
@@ -65,6 +74,7 @@ class Run:
             if _same_rows(old, new, key):
                 versions.drop_version(self.spark, place, number)
                 number = before
+        versions.drop_versions(self.spark, place, self.keep_versions)
         self.steps.append(Step(layer, table, number, number != before))
         return number != before
 
@@ -88,22 +98,44 @@ def _same_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> bool:
 
 
 def bronze(run: Run, c: TableContract) -> None:
-    prev = run.stored("bronze", c.target_name)
-    mark = run.control.watermark(c.target_name) if c.strategy == "incremental" else None
+    if c.strategy == "snapshot":
+        prev = run.stored("bronze", c.target_name)
+        _snapshot(run, c, prev, _delivered(run, c, prev, None), list(c.primary_key))
+        return
+    journal = run.journal(c)
+    _apply(run, c, journal, land(run, c, recover(run, c)))
+    if c.strategy != "incremental" and c.scd_type == 2:
+        journal.compact(run.compact_after)
+    journal.prune()
+
+
+def _delivered(run: Run, c: TableContract, prev: DataFrame | None, mark: str | None) -> DataFrame:
+    """What the source has above the watermark, checked for drift and by the rules, with audit columns."""
     source = run.read(c, mark)
-    change = schema_drift.check(source, prev.drop(scd.START, scd.END, "_deleted") if prev is not None else None, c.drift["mode"], c.drift["allowed_changes"])
+    known = prev.drop(scd.START, scd.END, "_deleted") if prev is not None else None
+    change = schema_drift.check(source, known, c.drift["mode"], c.drift["allowed_changes"])
     if change:
         row = schema_drift.drift_record(run.spark, c.target_name, source.schema, change, str(run.at))
         row.coalesce(1).write.mode("append").parquet(run.path("control", "schema_drift"))
     loaded = with_ingest_metadata(source, c.source, c.database, c.source_schema, c.source_table, c.strategy, run.instant())
-    loaded = quality.apply_rules(loaded, list(c.rules))
-    key = list(c.primary_key)
-    if c.strategy == "snapshot":
-        _snapshot(run, c, prev, loaded, key)
-    elif c.strategy == "incremental":
-        _incremental(run, c, prev, loaded, key)
-    else:
-        _changes(run, c, prev, loaded, key)
+    return quality.apply_rules(loaded, list(c.rules))
+
+
+def land(run: Run, c: TableContract, mark: str | None) -> int:
+    """Write what the source has above the watermark as the next raw batch; returns its number."""
+    return run.journal(c).land(_delivered(run, c, run.stored("bronze", c.target_name), mark))
+
+
+def recover(run: Run, c: TableContract) -> str | None:
+    """Apply what an earlier run landed and did not confirm; returns the watermark in force. A state from before
+    there was a journal counts as confirmed."""
+    journal = run.journal(c)
+    version = versions.latest_version(run.spark, run.path("bronze", c.target_name))
+    if version and not journal.started():
+        journal.confirm(Entry(max(journal.batches(), default=0), 0, version, version, run.control.watermark(c.target_name)))
+    for number in journal.pending():
+        _apply(run, c, journal, number)
+    return journal.position().watermark
 
 
 def _snapshot(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFrame, key: list[str]) -> None:
@@ -130,44 +162,57 @@ def _snapshot(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFr
         versions.expire_audit(run.spark, place, run.at.date(), int(c.audit["retention_days"]))
 
 
-def _incremental(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFrame, key: list[str]) -> None:
-    column = c.watermark_column
-    order = [c.sequence_by_column or "_ingestion_timestamp", "_ingestion_timestamp"]
-    # The raw batch is written once under the state's next version; the state, the row count and
-    # the new watermark all come from what was written.
-    number = versions.latest_version(run.spark, run.path("bronze", c.target_name)) + 1
-    raw_path = f"{run.path('raw', c.target_name)}/_batch_id={number}"
-    loaded.write.mode("overwrite").parquet(raw_path)
-    raw = run.spark.read.schema(loaded.schema).parquet(raw_path)
-    top = raw.agg(F.max(column).alias("hi"), F.count(F.lit(1)).alias("n")).head()
+def _apply(run: Run, c: TableContract, journal: Journal, number: int) -> None:
+    """Bring bronze up to a raw batch. Batch, state and watermark are confirmed together."""
+    raw = journal.batch(number)
+    column = c.watermark_column if c.strategy == "incremental" else None
+    high = F.max(column).cast("string") if column else F.lit(None).cast("string")
+    top = raw.agg(F.count(F.lit(1)).alias("n"), high.alias("hi")).head()
+    place, base = run.path("bronze", c.target_name), journal.position().version
     if not top.n:
-        run.steps.append(Step("bronze", c.target_name, number - 1, False))
+        versions.drop_folder(run.spark, f"{journal.raw}/_batch_id={number}")
+        run.steps.append(Step("bronze", c.target_name, base, False))
         return
-    merged = raw if prev is None else schema_drift.evolve_union(prev, raw)
-    run.commit("bronze", c.target_name, scd.latest_per_key(merged, key, order))
-    run.control.set_watermark(c.target_name, column, top.hi, top.n, run.at)
-
-
-def _changes(run: Run, c: TableContract, prev: DataFrame | None, loaded: DataFrame, key: list[str]) -> None:
-    """A change log read as a batch; `streaming.cdc` does the same continuously."""
-    order = [c.sequence_by_column or "_ingestion_timestamp"]
-    gone = scd.is_delete(c.operation_column, list(c.delete_values)) if c.operation_column in loaded.columns else None
-    if c.scd_type == 2 and key:
-        # Every delivery is kept, so that the history of a key can be rebuilt from all its events; one
-        # delivered twice changes nothing. Keys without new events keep the versions they have.
-        place = run.path("raw", c.target_name)
-        number = max(map(int, versions.committed(run.spark, place, "_batch_id=")), default=0) + 1
-        loaded.write.mode("overwrite").parquet(f"{place}/_batch_id={number}")
-        log = run.spark.read.option("mergeSchema", "true").parquet(place).drop("_batch_id")
-        rules = dict(seq=order, delete_when=gone, except_columns=[c.operation_column, *AUDIT_COLUMNS])
-        if prev is None:
-            state = scd.cdc_scd2(log, key, **rules)
-        else:
-            state = scd.merge_history(prev, log, run.spark.read.parquet(f"{place}/_batch_id={number}"), key, **rules)
-    else:
-        state = scd.cdc_scd1(loaded, key, order, gone, [c.operation_column], state=prev, keep_tombstones=bool(key))
-    compare = [*key, scd.START] if c.scd_type == 2 and key else key
-    run.commit("bronze", c.target_name, state, compare)
+    done = journal.apply(number, top.hi, top.n, lambda n, batch, version: _next_version(run, c, journal, n, batch, version))
+    if column:
+        run.control.set_watermark(c.target_name, column, done.watermark, done.rows, run.at)
+    versions.drop_versions(run.spark, place, run.keep_versions)
+    run.steps.append(Step("bronze", c.target_name, done.version, done.version != done.base))
+
+
+def _next_version(run: Run, c: TableContract, journal: Journal, number: int, batch: DataFrame, base: int) -> int:
+    """Write the state that follows from the base version and a batch, and return its number (the base's, if no
+    row changes). Only the keys of the batch are computed and compared; others are passed through."""
+    place, key = run.path("bronze", c.target_name), list(c.primary_key)
+    prev = versions.read_version(run.spark, place, base) if base else None
+    history = c.strategy != "incremental" and c.scd_type == 2 and bool(key)
+    if not key:
+        rows = batch if c.strategy == "incremental" else batch.drop(c.operation_column)
+        return versions.write_version(rows if prev is None else schema_drift.evolve_union(prev, rows), place, base + 1)
+    if prev is None:
+        return versions.write_version(_fresh(c, None, journal.log(number) if history else batch), place, base + 1)
+    wanted = cut_lineage(batch.select(*key).distinct(), "touched").alias("t")
+    of_keys = lambda df, how: df.alias("d").join(wanted, same_keys("d", "t", key), how)
+    old = of_keys(prev, "left_semi")
+    fresh = cut_lineage(_fresh(c, old, of_keys(journal.log(number), "left_semi") if history else batch), "fresh")
+    if _same_rows(old, fresh, [*key, scd.START] if history else key):
+        return base
+    others = of_keys(prev, "left_anti")
+    state = schema_drift.evolve_union(others, fresh)
+    return versions.write_version(state.select(*fresh.columns, *[x for x in state.columns if x not in fresh.columns]), place, base + 1)
+
+
+def _fresh(c: TableContract, old: DataFrame | None, events: DataFrame) -> DataFrame:
+    """State rows of the keys that have events: by strategy, newest rows or whole histories. Histories
+    are rebuilt from all events of a key, so one that arrives late or twice is right."""
+    key, order = list(c.primary_key), [c.sequence_by_column or "_ingestion_timestamp"]
+    if c.strategy == "incremental":
+        merged = events if old is None else schema_drift.evolve_union(old, events)
+        return scd.latest_per_key(merged, key, list(dict.fromkeys([*order, "_ingestion_timestamp"])))
+    gone = scd.is_delete(c.operation_column, list(c.delete_values)) if c.operation_column in events.columns else None
+    if c.scd_type == 2:
+        return scd.cdc_scd2(events, key, order, gone, [c.operation_column, *AUDIT_COLUMNS])
+    return scd.cdc_scd1(events, key, order, gone, [c.operation_column], state=old, keep_tombstones=True)
 
 
 def bronze_rows(run: Run, c: TableContract) -> DataFrame:

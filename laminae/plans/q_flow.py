@@ -9,19 +9,20 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from laminae.config import load_contracts
+from laminae.config import load_contracts, table_contract
 from laminae.operators import quality, scd
 from laminae.operators.conform import conform
 from laminae.plans import medallion
 from laminae.plans.q_core import ROLLING_SQL
 from laminae.plans.q_gold import _FACT_SQL
-from laminae.plans.q_state import SEQ, VALUES, cdc_history_sql, change_log
+from laminae.plans.q_state import _LATEST_ORDER, SEQ, VALUES, cdc_history_sql, change_log, newest_sql
 from laminae.plans.registry import EVENTS_NOW, Tables, at, query
 from laminae.plans.snapshots import DATES, active_customers, active_sql
 from laminae.session import cut_lineage, scratch_path
 from laminae.sinks import tables as sink
 from laminae.sinks import versions
 from laminae.sources import files, logs
+from laminae.sources.tables import above_watermark
 from laminae.streaming import anomalies, basics
 from laminae.streaming.cdc import ChangeState
 
@@ -199,3 +200,68 @@ def medallion_run(spark, sf):
     base, t = scratch_path(spark, "layers"), Tables(spark, sf)
     medallion.medallion_run(spark, base, load_contracts(), lambda c, _: getattr(t, c.source_table), datetime(2024, 1, 31))
     return versions.read_version(spark, f"{base}/gold/fact_order_line")
+
+
+def contract(name: str, **load):
+    """Contract of one table that is loaded by the journal."""
+    return table_contract({"target_name": name, "source": "files", "source_schema": "samples", "source_table": name, "load": load})
+
+
+def deliveries(spark, c, frames, died=()):
+    """Runs bronze and silver once for each delivery, in a fresh lake; returns what silver holds. In the runs named
+    in `died` only the raw batch gets written, as if the run had died there."""
+    base = scratch_path(spark, "lake")
+    for day, df in enumerate(frames):
+        read = lambda c, mark: above_watermark(df, c.watermark_column, mark) if c.watermark_column and mark else df  # noqa: B023, E731
+        run = medallion.Run(spark, base, read, datetime(2024, 2, 1 + day))
+        if day in died:
+            medallion.land(run, c, medallion.recover(run, c))
+        else:
+            medallion.medallion_run(spark, base, [c], read, run.at, models=[])
+    return versions.read_version(spark, f"{base}/silver/{c.target_name}")
+
+
+def log_parts(spark, sf, n):
+    """The change log in n deliveries that overlap in time: every key has late events."""
+    log = change_log(spark, sf)
+    return [log.where(F.pmod(F.xxhash64("event_id"), F.lit(n)) == i) for i in range(n)]
+
+
+@query("medallion_cdc_scd1", newest_sql("ts"))
+def medallion_cdc_scd1(spark, sf):
+    """Current rows through the layers, from three deliveries out of order; the second run dies."""
+    c = contract("users", strategy="cdc", primary_key=["user_id"], sequence_by_column="ts")
+    return deliveries(spark, c, log_parts(spark, sf, 3), died={1}).select("user_id", "ts", "event_id", "event_type", "value", "props")
+
+
+@query("medallion_cdc_scd2", cdc_history_sql(["event_id", "event_type", "value", "props"], ["ts", "event_id", "event_type", "value", "props"]))
+def medallion_cdc_scd2(spark, sf):
+    """Histories through the layers, likewise."""
+    c = contract("users", strategy="cdc", primary_key=["user_id"], sequence_by_column="ts", stored_as_scd_type=2)
+    kept = deliveries(spark, c, log_parts(spark, sf, 3), died={1})
+    return kept.select("user_id", "ts", "event_id", "event_type", "value", "props", scd.START, scd.END)
+
+
+CUTS = ["1997-01-01", "1999-01-01", "2002-01-01"]
+
+
+def orders_so_far(spark, sf):
+    """The orders table as it stood on past dates."""
+    orders = Tables(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    newest = orders.agg(F.max("o_orderdate")).head()[0]
+    return [orders.where(F.col("o_orderdate") <= F.least(at(cut), F.lit(newest))) for cut in CUTS[:-1]] + [orders]
+
+
+@query("medallion_incremental", _LATEST_ORDER)
+def medallion_incremental(spark, sf):
+    """Newest order of each customer, from increments above the confirmed watermark; the second run dies."""
+    orders = [df.withColumn("at", F.struct("o_orderdate", "o_orderkey")) for df in orders_so_far(spark, sf)]
+    c = contract("orders", strategy="incremental", primary_key=["o_custkey"], watermark_column="o_orderdate", sequence_by_column="at")
+    return deliveries(spark, c, orders, died={1}).select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
+
+
+@query("medallion_incremental_raw", "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders")
+def medallion_incremental_raw(spark, sf):
+    """Increments without a key: every row is there once, though the second run dies."""
+    c = contract("orders", strategy="incremental", watermark_column="o_orderdate")
+    return deliveries(spark, c, orders_so_far(spark, sf), died={1}).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")

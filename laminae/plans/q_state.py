@@ -133,10 +133,12 @@ p AS (SELECT *, CASE WHEN opens THEN ts ELSE lag(ts) OVER (PARTITION BY user_id
 SELECT user_id, {', '.join(values)}, start_ts AS "__START_AT", next_ts AS "__END_AT" FROM p WHERE closes"""
 
 
-@query(
-    "cdc_scd1",
-    f"""SELECT user_id, ts, event_id, event_type, value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM {_LOG_SQL}) WHERE rn = 1 AND NOT del""",
-)
+def newest_sql(*order: str) -> str:
+    down = ", ".join(f"{c} DESC" for c in order)
+    return f"""SELECT user_id, ts, event_id, event_type, value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {down}) AS rn FROM {_LOG_SQL}) WHERE rn = 1 AND NOT del"""
+
+
+@query("cdc_scd1", newest_sql("ts", "event_id"))
 def cdc_scd1(spark, sf):
     return scd.cdc_scd1(change_log(spark, sf), ["user_id"], SEQ, scd.is_delete("op"), except_columns=["op"])
 

@@ -47,13 +47,13 @@ def write_version(df: DataFrame, path: str, version: int | None = None) -> int:
     return number
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def drop_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_version(spark: SparkSession, path: str, version: int) -> None:
-    _delete(spark, f"{path}/v={version}")
+    drop_folder(spark, f"{path}/v={version}")
 
 
 def drop_versions(spark: SparkSession, path: str, keep: int) -> list[int]:
@@ -82,6 +82,6 @@ def expire_audit(spark: SparkSession, path: str, as_of, retention_days: int) ->
     for name in committed(spark, path, AUDIT_PREFIX):
         taken_on, number = name.split(".")
         if date.fromisoformat(taken_on) < oldest:
-            _delete(spark, f"{path}/{AUDIT_PREFIX}{name}")
+            drop_folder(spark, f"{path}/{AUDIT_PREFIX}{name}")
             gone.append(int(number))
     return sorted(gone)
