@@ -4,6 +4,11 @@ A plain window over `PARTITION BY key ORDER BY seq` sends a hot key to one task.
 partition by (key, segment), where `segment` is a monotone function of the order (a day of a
 timestamp, a range of a counter), and carry what crosses a segment border through one summary row
 per (key, segment). Only those summaries are ever grouped by the key alone.
+
+Where a single segment of a key holds too many rows, borders inside it are chosen from the data: the rows
+per key and segment are counted, and the quantiles of the order's columns divide the segments above
+the limit, first by the first column, then, among its ties, by the next ones, again and again while parts are
+above the limit. Only rows that equal each other in all columns that can be divided stay together.
 """
 
 from __future__ import annotations
@@ -12,8 +17,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from laminae.session import cut_lineage
+
+CELL_ROWS = 1_000_000  # a segment with more rows is divided
+PARTS, ROUNDS = 64, 2  # into so many parts, so often for each column of the order
+
 
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
     """Null-safe equality of the key columns of two aliased frames."""
@@ -24,13 +35,64 @@ def day_segment(column: str) -> Column:
     return F.date_trunc("day", F.col(column))
 
 
-def celled(df: DataFrame, keys: list[str], segment: Column) -> DataFrame:
+def celled(
+    df: DataFrame, keys: list[str], segment: Column, order: list[str] | None = None, limit: int | None = None
+) -> DataFrame:
     """Add `_cell`, the struct of key and segment.
 
     Everything below partitions, groups and joins by this one column. As a struct it is never
     null, so plain equality is null-safe and Spark keeps the partitioning from pass to pass.
+
+    With an `order`, segments of more than `limit` rows are divided along it. Without a limit a frame that is known
+    to fit one partition is left as it is, since dividing it would gain nothing.
     """
-    return df.withColumn("_cell", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], segment.alias("seg")))
+    key = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    plain = df.withColumn("_cell", F.struct(*key, segment.alias("seg")))
+    if not order or (limit is None and _fits_one_partition(df)):
+        return plain
+    return _divided(plain, order, limit or CELL_ROWS)
+
+
+def _fits_one_partition(df: DataFrame) -> bool:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    )
+
+
+def _magnitude(df: DataFrame, column: str) -> Column | None:
+    """A number that orders a column's values as they are ordered (nulls first); None where there is none."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(column))
+    return F.col(column) if isinstance(kind, T.NumericType) else None
+
+
+def _divided(df: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """Divide the cells of more than `limit` rows by quantiles of the order's columns. The counts and quantiles are
+    made in the map tasks first; what is joined back is one row for each cell above the limit."""
+    crowded = cut_lineage(df.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit), "crowded")
+    shares = [i / PARTS for i in range(1, PARTS)]
+    for value in [v for v in (_magnitude(df, c) for c in order) if v is not None for _ in range(ROUNDS)]:
+        if crowded.isEmpty():
+            break
+        inside = df.join(crowded.select("_cell"), "_cell", "left_semi")
+        borders = inside.groupBy("_cell").agg(F.array_distinct(F.percentile_approx(value, shares, 10_000)).alias("_borders"))
+        borders = cut_lineage(borders.select(F.col("_cell").alias("_whole"), "_borders"), "borders")
+        joined = df.join(borders, F.col("_cell") == F.col("_whole"), "left")
+        # equal values stay in one part; nulls come first, as in an ascending order
+        below = F.coalesce(F.size(F.filter("_borders", lambda b: b < value)), F.lit(0))
+        part = F.when(F.col("_borders").isNull() | value.isNull(), F.lit(-1)).otherwise(below)
+        fields = [f.name for f in df.schema["_cell"].dataType.fields if f.name != "seg"]
+        finer = F.struct(*[F.col(f"_cell.{f}").alias(f) for f in fields], F.struct(F.col("_cell.seg").alias("s"), part.alias("p")).alias("seg"))
+        split = joined.withColumns({"_finer": finer, "_met": F.col("_borders").isNotNull()}).drop("_cell", "_whole", "_borders")
+        split = split.withColumnRenamed("_finer", "_cell")
+        counted = split.where("_met").groupBy("_cell").agg(F.count(F.lit(1)).alias("n"))
+        crowded = cut_lineage(counted.where(F.col("n") > limit), "crowded")
+        df = split.drop("_met")
+    return df
 
 
 def _across(keys: list[str]):
@@ -53,13 +115,14 @@ def with_neighbours(
     segment: Column | None = None,
     prev: str = "_prev",
     next: str = "_next",
+    limit: int | None = None,
 ) -> DataFrame:
     """Add the payload of the preceding and following row of the same key (null at the ends).
 
     Without `segment` the frame's own `_cell` column is used and kept, so that several passes share
     one shuffle.
     """
-    source = df if segment is None else celled(df, keys, segment)
+    source = df if segment is None else celled(df, keys, segment, order, limit)
     within = W.partitionBy("_cell").orderBy(*order)
     local = source.withColumn("_payload", F.struct(*payload))
     local = local.withColumns({prev: F.lag("_payload").over(within), next: F.lead("_payload").over(within)})
@@ -79,10 +142,10 @@ def with_neighbours(
 
 
 def running_sum(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, segment: Column | None = None
+    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, segment: Column | None = None, limit: int | None = None
 ) -> DataFrame:
     """Running total of an integer per key: inside the cell by a window, before it by a summary."""
-    source = df if segment is None else celled(df, keys, segment)
+    source = df if segment is None else celled(df, keys, segment, order, limit)
     within = W.partitionBy("_cell").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     before = _across(keys).rowsBetween(W.unboundedPreceding, -1)
     local = source.withColumn("_local", F.sum(value).over(within))
@@ -92,10 +155,10 @@ def running_sum(
 
 
 def with_positions(
-    df: DataFrame, keys: list[str], order: list[str], segment: Column, name: str = "_position"
+    df: DataFrame, keys: list[str], order: list[str], segment: Column, name: str = "_position", limit: int | None = None
 ) -> DataFrame:
     """Number the rows of each key from 1 in the given (total) order."""
-    return running_sum(df, keys, order, F.lit(1), name, segment)
+    return running_sum(df, keys, order, F.lit(1), name, segment, limit)
 
 
 def rolling(
@@ -106,6 +169,7 @@ def rolling(
     preceding: int,
     aggregates: dict[str, Column],
     chunk_rows: int = 100_000,
+    limit: int | None = None,
 ) -> DataFrame:
     """Aggregates over the current row and the `preceding` rows before it, per key.
 
@@ -114,7 +178,7 @@ def rolling(
     """
     if chunk_rows < preceding:
         raise ValueError("chunk_rows must not be smaller than the frame")
-    numbered = with_positions(df, keys, order, segment)
+    numbered = with_positions(df, keys, order, segment, limit=limit)
     chunk = F.floor((F.col("_position") - 1) / chunk_rows)
     in_tail = F.pmod(F.col("_position") - 1, F.lit(chunk_rows)) >= chunk_rows - preceding
     homes = F.when(in_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
@@ -124,12 +188,14 @@ def rolling(
     return rolled.where(F.col("_home") == F.col("_chunk")).drop("_home", "_chunk", "_position")
 
 
-def sessions(df: DataFrame, keys: list[str], ts: str, tie: str, gap_seconds: int, segment: Column) -> DataFrame:
+def sessions(
+    df: DataFrame, keys: list[str], ts: str, tie: str, gap_seconds: int, segment: Column, limit: int | None = None
+) -> DataFrame:
     """Add `_session` (1, 2, .. per key): a new one starts after `gap_seconds` without events.
 
     Session numbers are a running count of session starts. Both passes share one shuffle.
     """
-    marked = with_neighbours(celled(df, keys, segment), keys, [ts, tie], [ts])
+    marked = with_neighbours(celled(df, keys, segment, [ts, tie], limit), keys, [ts, tie], [ts])
     quiet = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"_prev.{ts}").cast("timestamp"))
     starts = F.when(F.col("_prev").isNull() | (quiet >= gap_seconds * 1_000_000), 1).otherwise(0)
     marked = marked.withColumn("_starts", starts).drop("_prev", "_next")

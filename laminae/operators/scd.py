@@ -173,20 +173,22 @@ def cdc_scd2(
     track: list[str] | None = None,
     track_except: list[str] | None = None,
     segment: Column | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Version history from a complete change log, in any arrival order.
 
     A version opens where the tracked columns differ from the key's preceding event (or follow a
     delete) and closes at the next such event; a delete only closes. Untracked columns take their
     last value within the version. The sequence columns are not tracked unless listed. `segment`
-    is a monotone function of the sequence (default: the day of its first column).
+    is a monotone function of the sequence (default: the day of its first column); segments of a
+    key with more than `limit` events are divided further.
     """
     segment = segment if segment is not None else day_segment(seq[0])
     visible = [c for c in events.columns if c not in (except_columns or [])]
     tracked = _tracked(visible, keys, track, [*(track_except or []), *seq])
     log = events.withColumn("_deleted", delete_when if delete_when is not None else F.lit(False))
     log = log.withColumn("_tracked", F.struct(*tracked) if tracked else F.struct(F.lit(1)))
-    log = celled(log, keys, segment)
+    log = celled(log, keys, segment, seq, limit)
     # An event delivered twice equals its neighbour and neither opens nor closes anything. Events
     # that share a sequence value are ordered by content, so every run orders them alike.
     order = [*seq, "_deleted", *_orderable(log, tracked)]

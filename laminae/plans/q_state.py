@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from laminae.functions.audit import with_ingest_metadata
 from laminae.operators import changes, control, drift, health, history, quality, reconcile, scd
+from laminae.plans.q_core import _HOT_SQL, hot_events
 from laminae.plans.registry import EVENTS_NOW, ORDERS_NOW, Tables, at, money, query
 from laminae.plans.snapshots import DATES, active_customers, active_sql, history_sql
 from laminae.sources import tables
@@ -158,6 +159,17 @@ def cdc_except_columns(spark, sf):
     return scd.cdc_scd2(change_log(spark, sf), ["user_id"], SEQ, scd.is_delete("op"), except_columns=["op", "props"])
 
 
+_HISTORY_COLUMNS = ["ts", "event_id", "event_type", "value", "props"]
+
+
+@query("cdc_scd2_hot_day", cdc_history_sql(["event_type"], _HISTORY_COLUMNS).replace("FROM events", f"FROM {_HOT_SQL}"))
+def cdc_scd2_hot_day(spark, sf):
+    """History of a log in which one key has a third of all events within an hour."""
+    events, limit = hot_events(spark, sf)
+    log = events.select("user_id", *_HISTORY_COLUMNS, (F.col("event_type") == "error").alias("gone"))
+    return scd.cdc_scd2(log, ["user_id"], SEQ, F.col("gone"), except_columns=["gone"], track=["event_type"], limit=limit)
+
+
 _CHANGES_SQL = f"""WITH a AS ({active_sql(DATES[0])}), b AS ({active_sql(DATES[1])}),
 j AS (SELECT a AS x, b AS y, a.o_custkey IS NOT NULL AS had, b.o_custkey IS NOT NULL AS has, a.order_count = b.order_count AND a.total_spent = b.total_spent AND a.last_order = b.last_order AS same
       FROM a FULL OUTER JOIN b ON a.o_custkey = b.o_custkey)

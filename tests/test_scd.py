@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from laminae.operators import changes, scd
-from laminae.operators.ordered import exact_percentiles, rolling, sessions, with_positions
+from laminae.operators.ordered import celled, day_segment, exact_percentiles, rolling, sessions, with_neighbours, with_positions
 
 DAY0 = datetime(2024, 1, 1)
 LOG_DDL = "k int, ts timestamp_ntz, n int, a string, b string, op string"
@@ -225,6 +225,50 @@ def test_positions_and_sessions_equal_plain_window(spark, hot):
     assert got.exceptAll(plain).isEmpty() and got.count() == hot.count()
 
 
+@pytest.fixture(scope="module")
+def hot_day(spark):
+    """A third of all rows in one day of one key; half of these, and some nulls, share one instant."""
+    inside = F.expr("timestamp_ntz'2024-01-05' + make_dt_interval(0, 0, 0, if(id % 2 = 0, 5, id * 7 % 80000))")
+    outside = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, int(id * id % 20011), 0)")
+    ts = F.when(F.col("id") % 3 == 0, inside).when(F.col("id") % 101 != 0, outside)
+    rows = spark.range(12_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7 + 1).alias("k"), ts.alias("ts"), "id", (F.col("id") % 5).alias("v"))
+    return rows.repartition(5, "id")
+
+
+def test_crowded_cells_are_divided_by_the_data(spark, hot_day):
+    limit = 240  # a fiftieth of all rows
+    cells = celled(hot_day, ["k"], day_segment("ts"), ["ts", "id"], limit)
+    sizes = cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ts", "id")).alias("lo"), F.max(F.struct("ts", "id")).alias("hi")).collect()
+    assert max(r.n for r in sizes) <= limit and sum(r.n for r in sizes) == 12_000
+    assert max(r["count"] for r in celled(hot_day, ["k"], day_segment("ts")).groupBy("_cell").count().collect()) == 4_000
+    # cells of one key follow each other without overlap, in the order of their segments
+    ordered_cells = cells.groupBy("_cell").agg(F.min(F.struct("ts", "id")).alias("lo"), F.max(F.struct("ts", "id")).alias("hi"))
+    from pyspark.sql import Window as W
+
+    after = ordered_cells.withColumn("next", F.lead("lo").over(W.partitionBy("_cell.k0").orderBy("_cell.seg")))
+    assert after.where("next <= hi").isEmpty()
+    # rows that are equal in every column that could divide them stay together
+    same = hot_day.withColumn("id", F.lit(1))
+    assert celled(same.where("k = 0"), ["k"], day_segment("ts"), ["ts", "id"], limit).groupBy("_cell").count().agg(F.max("count")).head()[0] == 2_000
+
+
+def test_divided_cells_equal_plain_windows(spark, hot_day):
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy("k").orderBy("ts", "id")
+    args = (["k"], ["ts", "id"])
+    same = lambda a, b: a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    pos = with_positions(hot_day, *args, day_segment("ts"), limit=100)
+    assert same(pos, hot_day.withColumn("_position", F.row_number().over(w).cast("long")))
+    near = with_neighbours(hot_day, *args, ["id"], day_segment("ts"), limit=100).select("k", "id", F.col("_prev.id").alias("p"), F.col("_next.id").alias("n"))
+    assert same(near, hot_day.select("k", "id", F.lag("id").over(w).alias("p"), F.lead("id").over(w).alias("n")))
+    rolled = rolling(hot_day, *args, day_segment("ts"), 9, {"m": F.sum("v")}, chunk_rows=50, limit=100)
+    assert same(rolled, hot_day.withColumn("m", F.sum("v").over(w.rowsBetween(-9, 0))))
+    log = hot_day.where("ts IS NOT NULL").withColumn("gone", F.col("id") % 11 == 0)
+    versions_of = lambda limit: scd.cdc_scd2(log, ["k"], ["ts", "id"], F.col("gone"), ["gone"], track=["v"], segment=F.lit(1) if limit is None else None, limit=limit or 10**9)
+    assert same(versions_of(100), versions_of(None))
+
+
 def test_exact_percentiles_with_outliers_ties_and_small_groups(spark):
     rows = [("big", float(i % 10)) for i in range(5000)] + [("big", 1e12)] + [("one", 4.0)] + [("two", 1.0), ("two", 2.0)] + [("none", None)]
     df = spark.createDataFrame(rows, "g string, v double")
