@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from array import array
 from collections import deque
@@ -33,7 +34,13 @@ from tokenizers import Tokenizer
 from laminae.llm.columns import list_array, texts
 
 TIERS = (4096, 2048, 1024, 512, 256)
-_REMEMBER, _LONGEST, _MARKS = 250_000, 64, ".,;:!?%$&*#"
+_REMEMBER, _LONGEST, _MARKS = 600_000, 64, ".,;:!?%$&*#"
+# Bytes of ASCII and of the letters À to ÿ are plain; a word with others, or that may hold a special token, is odd.
+_ODD = re.compile(rb"([^ \t\n\r\x0b\x0c]*(?:[\xc2\xc4-\xff]|\xc3[\x97\xb7]|<\|)[^ \t\n\r\x0b\x0c]*)")
+_PLAIN_BYTES = bytes([*range(0x80), *range(0x80, 0xC0), 0xC3])
+_MARKED = re.compile(rb"([a-z\x80-\xbf])([.,;:!?%$&*#])")
+# "." for full stops and commas, "a" for what they are parted from (letters, digits, white space), "b" for the rest
+_KINDS = bytes(ord("." if c in b".," else "a" if c >= 0x80 or chr(c).isalnum() or c in b" \n" else "b") for c in range(256))
 SCHEMA = (
     "doc_id long, start long, length long, ids array<int>, doc_tokens long, "
     "sequence_id long, offset long, tier int, step_group long"
@@ -43,56 +50,69 @@ SCHEMA = (
 class WordTokens:
     """Ids of whole texts by a tokenizer that drops white space and case and keeps punctuation apart.
 
-    Words are remembered. A word of letters with punctuation behind it is looked up as these two parts,
-    letters of ASCII in lower case, which gives the same ids and far fewer different words."""
+    Words are remembered. Plain words are first put in lower case and parted from the punctuation behind their
+    letters, which gives the same ids and far fewer different words: none of their characters combine, so case
+    and normalization act on each alone. Odd words are encoded as they stand, special tokens as the tokenizer
+    itself does."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         suffix = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for w, i in words.items() if suffix and w.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > _REMEMBER:
-            self.known.clear()
-        if len(self.parts) + 2 * len(words) > _REMEMBER:
-            self.parts.clear()
-        split = []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            core = text.rstrip(_MARKS)
-            if core.isalpha():
-                split.append((core.lower() if core.isascii() else core, text[len(core) :]))
+        texts = [w.decode("utf-8", "replace") for w in words]
+        left = []
+        for w, t in zip(words, texts):
+            if t.isascii() and t.isalpha():  # in lower case: one run of letters, each its own symbol
+                self.known[w] = array("I", [x.id for x in self.tokenizer.model.tokenize(t)]).tobytes()
             else:
-                split.append((text, ""))
-        new = {p for pair in split for p in pair}.difference(self.parts)
-        plain = [p for p in new if p.isalpha() or (p and not p.strip(_MARKS))]
-        # each of these is one token run, closed by an id that ends a word: many are encoded as one text
-        for i in range(0, len(plain), 500):
-            some = plain[i : i + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+                left.append((w, t))
+        # a run of letters or marks is closed by an id that ends a word: many are encoded as one text, and as many ends as
+        # words mean one for each
+        runs = [x for x in left if x[1].isalpha() or not x[1].strip(_MARKS)]
+        for k in range(0, len(runs), 500):
+            some = runs[k : k + 500]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([t for _, t in some])], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) == len(some):
                 data = ids.tobytes()
-                self.parts.update((p, data[4 * u : 4 * v]) for p, u, v in zip(some, [0, *ends], ends))
-        rest = [p for p in new if p not in self.parts]
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        self.parts.update((p, array("I", e.ids).tobytes()) for p, e in zip(rest, found))
-        self.known.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(words, split))
+                self.known.update((w, data[u:v]) for (w, _), u, v in zip(some, [0, *ends], ends))
+        rest = [x for x in left if x[0] not in self.known]
+        found = self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False)
+        self.known.update((w, array("I", e.ids).tobytes()) for (w, _), e in zip(rest, found))
+
+    @staticmethod
+    def _plain(text: bytes) -> list[bytes]:
+        """Lower case, and marks behind letters apart, but marks that follow each other left together."""
+        text = text.lower()
+        kinds = text.translate(_KINDS)
+        if b"b." in kinds or b".." in kinds:
+            return _MARKED.sub(rb"\1 \2", text).split()
+        return text.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n").split()
+
+    def words(self, text: bytes) -> list[bytes]:
+        """The words of a text as they are looked up. ASCII white space never takes part in a token."""
+        if not text.translate(None, _PLAIN_BYTES) and not any(x in text for x in (b"\xc3\x97", b"\xc3\xb7", b"<|")):
+            return self._plain(text)
+        found: list[bytes] = []
+        for k, part in enumerate(_ODD.split(text)):
+            found += [part] if k % 2 else self._plain(part)
+        return found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Packed little-endian ids of each text. ASCII white space never takes part in a token."""
+        """Packed little-endian ids of each text."""
         out = []
         for i in range(0, len(texts), 64):
-            split = [t.split() for t in texts[i : i + 64]]
+            split = list(map(self.words, texts[i : i + 64]))
             words = set().union(*split)
             if new := words.difference(self.known):
                 if len(self.known) + len(new) > _REMEMBER:
+                    self.known.clear()
                     new = words
                 self._learn(list(new))
             out += [b"".join(map(self.known.__getitem__, s)) for s in split]

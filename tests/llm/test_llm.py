@@ -242,7 +242,7 @@ def test_packing_keeps_every_id(spark, odd, empty, docs):
             assert at <= 4096
         if frame is docs:
             rows = {r.doc_id: r.text or "" for r in frame.collect()}
-            by = defaultdict(list)
+            by = defaultdict(list)  # the odd rows' ids are compared in test_packing_encodes_as_the_tokenizer_does
             for p in pieces:
                 by[p.doc_id].append(p)
             for doc, text in rows.items():
@@ -256,6 +256,21 @@ def test_packing_keeps_every_id(spark, odd, empty, docs):
         assert sum(p.start == 0 for p in pieces) == n
 
 
+def test_packing_encodes_as_the_tokenizer_does(docs):
+    """Against a tokenizer of the test's own, called as the contract says."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(WORD_TOKENIZER)
+    rng = np.random.default_rng(6)
+    letters = list("abKTIJs'' .,;:!?%$&*#()|<>-_ \t\n\x0b\x1c\x1f019éÉÀÿß×÷ªºµİıŁłÅñ") + ["\u0301", "\u0307", "\u0308", "\u00a0", "\u2003", "\u0085", "\u2019", "中", "α", "Σ", "ς", "ﬁ", "Å", "\U0001f600", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>"]
+    cases = ["".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(6000)]
+    cases += ["x <|endoftext|> y", "KÅİ.", "T\u0308, é\u0301. İ. K.", "", "word's it'll don't.", "long" * 5000, "é." * 3000]
+    cases += [r.text or "" for r in docs.collect()]
+    got = packing.WordTokens(WORD_TOKENIZER).encode([c.encode() for c in cases])
+    wrong = [c for c, g in zip(cases, got) if np.frombuffer(g, "<u4").tolist() != plain.encode(c, add_special_tokens=False).ids]
+    assert not wrong
+
+
 def test_packing_fills_windows():
     rng = np.random.default_rng(2)
     for _ in range(30):
