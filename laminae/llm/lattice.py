@@ -7,16 +7,16 @@ Characters that no piece holds are spelled with the vocabulary's byte pieces. No
 word start, so words are independent given their probabilities.
 
 The vocabulary is never changed. Its order gives first scores (a piece's share falls with its rank), and
-the scores are then fitted, for each language, by expectation maximisation over all its distinct training
-words. A word's spelled probability is the mixture over languages, each by its share of the pieces, where
-only languages in which the word occurs are summed (leaving one out can only lower it). A word seen
+the scores are then fitted by expectation maximisation over all distinct training words. A word seen
 in training is one more edge, from its start to its end, weighted by its discounted share of the training
 tokens; what the discount frees is shared by all spellings, so probabilities add up to at most one.
 Within a text, words are drawn from these probabilities with reinforcement (a Polya urn of the given
 concentration): a word already seen in the text is likelier to come again. The product does not
 depend on the order, so the score is a sum over the text's distinct words. For the frequent words it
-is a mixture: a text is drawn from all languages together or from one of the most frequent ones, each
-with its own counts of these words; the languages are known of training rows only.
+is a mixture: a text is drawn from all languages together or from one of those with at least a hundredth of the
+training tokens (so they are at most a hundred), each with its own counts of these words. Languages are
+looked at in training rows only, and of the other rows nothing is learned: their scores stay the same
+whatever other such rows there are.
 
 The corpus enters as one table of distinct words with their counts. Each distinct word's lattice is
 summed once, wherever the word occurs. Documents meet that table by word: the words of at least
@@ -47,6 +47,7 @@ from laminae.session import cut_lineage
 START = "▁"
 END = b""  # no word is empty, so this stands for the end
 HEAVY, DISCOUNT, CONCENTRATION, SMOOTH, ROUNDS, FLUSH = 100_000, 0.5, 2000.0, 200.0, 1, 200_000
+MIN_SHARE = 0.01  # of the training tokens, for a language to be a part of the mixture
 
 
 class Lattice:
@@ -133,29 +134,24 @@ class Lattice:
 
 
 def word_counts(df: DataFrame, folds: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """word, lang and n (in training rows, 0 for words of other rows alone) of each distinct word of each
-    language; words are counted within tasks first."""
+    """word, lang and n of each distinct word of each language in the training rows; the words of other rows come with
+    a null language and 0. Words are counted within tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned: dict[str, Counter] = {}
-        other: dict[str, set] = {}
+        learned: dict[str | None, Counter] = {}
         new = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang in learned.keys() | other.keys():
-                n = learned.pop(lang, Counter())
-                words = list(other.pop(lang, set()) | n.keys())
-                counts = pa.array([n.get(w, 0) for w in words], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([lang] * len(words), pa.string()), counts], ["word", "lang", "n"])
+            while learned:
+                lang, n = learned.popitem()
+                counts = np.fromiter(n.values(), np.int64, len(n)) * (lang is not None)
+                yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array([lang] * len(n), pa.string()), pa.array(counts)], ["word", "lang", "n"])
 
         for batch in batches:
             for text, out_, lang in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 words = text.as_py().lower().split()
                 words.append(END)
-                if out_:
-                    held = other.setdefault(lang, set())
-                else:
-                    held = learned.setdefault(lang, Counter())
+                held = learned.setdefault(None if out_ else lang, Counter())
                 new -= len(held)
                 held.update(words)
                 new += len(held)
@@ -169,39 +165,30 @@ def word_counts(df: DataFrame, folds: int, id_col: str = "doc_id", text_col: str
     return made.groupBy("word", "lang").agg(F.sum("n").alias("n"))
 
 
-def fit(counts: DataFrame, path: str, rounds: int = ROUNDS) -> dict[str, tuple[float, np.ndarray]]:
-    """For each language: its share of the training words and its piece scores, after so many rounds of
-    expectation maximisation over all its training words."""
+def fit(words: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarray:
+    """The pieces' scores after so many rounds of expectation maximisation over all distinct training words."""
     first = Lattice(path)
     base = np.array(first.score)
-    models: dict[str, np.ndarray] = {}
-    share: dict[str, float] = {}
+    scores: np.ndarray | None = None
     for _ in range(rounds):
 
-        def expect(batches: Iterator[pa.RecordBatch], models=models) -> Iterator[pa.RecordBatch]:
-            lattice = {}
-            total: dict[str, list[float]] = {}
+        def expect(batches: Iterator[pa.RecordBatch], scores=scores) -> Iterator[pa.RecordBatch]:
+            lattice = Lattice(path, scores)
+            sums = [0.0] * lattice.size
             for batch in batches:
-                for word, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if lang not in lattice:
-                        lattice[lang] = Lattice(path, models.get(lang))
-                        total[lang] = [0.0] * lattice[lang].size
-                    lattice[lang].expected(word, total[lang])
-            for lang, sums in total.items():
-                sums = np.array(sums)
-                used = np.flatnonzero(sums)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used)), pa.array(used), pa.array(sums[used])], ["lang", "piece", "n"])
-
-        found = counts.filter("n > 0").select("word", "lang").mapInArrow(expect, "lang string, piece long, n double")
-        rows = found.groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()  # one for each language and piece
-        sums: dict[str, np.ndarray] = {}
+                for word in batch.column(0).to_pylist():
+                    lattice.expected(word, sums)
+            used = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(np.array(sums)[used])], ["piece", "n"])
+
+        found = words.filter("n > 0").select("word").mapInArrow(expect, "piece long, n double")
+        rows = found.groupBy("piece").agg(F.sum("n").alias("n")).collect()  # one for each piece
+        total = np.where(base > -inf, 0.1, 0.0)
         for r in rows:
-            sums.setdefault(r["lang"], np.where(base > -inf, 0.1, 0.0))[r["piece"]] += r["n"]
-        models = {k: np.log(t / t.sum(), where=t > 0, out=np.full(len(t), -inf)) for k, t in sums.items()}
-        share = {k: float(t.sum()) for k, t in sums.items()}
-    if not models:
-        return {"": (1.0, base)}
-    return {k: (share[k] / sum(share.values()), models[k]) for k in models}
+            total[r["piece"]] += r["n"]
+        if rows:
+            scores = np.log(total / total.sum(), where=total > 0, out=np.full(len(total), -inf))
+    return base if scores is None else scores
 
 
 def score(
@@ -215,28 +202,20 @@ def score(
     discount: float = DISCOUNT,
     concentration: float = CONCENTRATION,
     rounds: int = ROUNDS,
-    languages: int = 8,
+    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each whole text."""
     counts = cut_lineage(word_counts(df, folds, id_col, text_col, lang_col), "words")
-    models = fit(counts, path, rounds)
+    distinct = cut_lineage(counts.groupBy("word").agg(F.sum("n").alias("n")), "distinct")
+    scores = fit(distinct, path, rounds)
 
     def lattices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice: dict[str, tuple[float, Lattice]] = {}
+        lattice = Lattice(path, scores)
         for batch in batches:
-            spelled = []
-            for word, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if lang not in lattice:
-                    share, scores = models.get(lang) or max(models.values(), key=lambda m: m[0])
-                    lattice[lang] = log(share), Lattice(path, scores)
-                share, of = lattice[lang]
-                spelled.append(share + of.word(word))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(spelled, pa.float64())], ["word", "n", "spelled"])
-
-    each = counts.mapInArrow(lattices, "word binary, n long, spelled double")
-    top = F.max("spelled")  # a word of several languages: the sum of its spellings in them, no smaller than the largest
-    words = each.groupBy("word").agg(F.sum("n").alias("n"), top.alias("top"), F.sum(F.exp("spelled")).alias("sum"))
-    words = cut_lineage(words.select("word", "n", F.greatest("top", F.when(F.col("sum") > 0, F.log("sum"))).alias("spelled")), "lattices")
+            spelled = pa.array(list(map(lattice.word, batch.column(0).to_pylist())), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, spelled], ["word", "n", "spelled"])
+
+    words = cut_lineage(distinct.mapInArrow(lattices, "word binary, n long, spelled double"), "lattices")
     totals = words.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n_all, kinds = totals["n"] or 0, totals["v"]
     spell = discount * kinds / n_all if n_all else 1.0
@@ -246,7 +225,7 @@ def score(
         "word", "n", F.log10((F.col("n") + 0.1) / (n_all + 0.1 * (kinds + 1))).alias("base"), (drawn + log(concentration)).alias("mass")
     )
     frequent = table.filter((F.col("n") > 0) & (F.col("n") * heavy >= n_all)).collect()  # at most heavy rows
-    shared = df.sparkSession.sparkContext.broadcast(_by_language(counts, [(bytes(r["word"]), r["base"], r["mass"]) for r in frequent], languages))
+    shared = df.sparkSession.sparkContext.broadcast(_by_language(counts, [(bytes(r["word"]), r["base"], r["mass"]) for r in frequent], min_share))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each text, of what the shared words give, and one for each other word in it."""
@@ -315,20 +294,22 @@ def score(
     )
 
 
-def _by_language(counts: DataFrame, words: list[tuple[bytes, float, float]], languages: int) -> tuple:
+def _by_language(counts: DataFrame, words: list[tuple[bytes, float, float]], min_share: float) -> tuple:
     """The shared words' places, base scores and log masses under all languages together (first) and under
-    each of the most frequent ones, with the log share of each.
+    each of those that have min_share of the training tokens or more, with the log share of each.
 
     In a language, the shared words keep their total mass and divide it by their counts in the language,
     smoothed by their own masses."""
     place = {w: i for i, (w, _, _) in enumerate(words)}
     base, mass = np.array([b for _, b, _ in words]), np.array([m for _, _, m in words])
     spark = counts.sparkSession
-    usual = counts.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0").orderBy(F.desc("n"), "lang").limit(languages).collect()
+    sizes = counts.filter("n > 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    whole = sizes.agg(F.sum("n")).first()[0] or 0
+    usual = sizes.filter(F.col("n") >= min_share * whole).orderBy(F.desc("n"), "lang").collect()  # at most 1 / min_share
     if not words or not usual:
         return place, base, mass[None, :], np.zeros(1)
     listed = F.broadcast(spark.createDataFrame([(bytearray(w),) for w in place], "word binary"))  # at most heavy rows
-    rows = counts.filter(F.col("n") > 0).filter(F.col("lang").isin([r["lang"] for r in usual])).join(listed, "word").select("word", "lang", "n").collect()
+    rows = counts.filter(F.col("n") > 0).filter(F.col("lang").isin([r["lang"] for r in usual])).join(listed, "word").select("word", "lang", "n").toLocalIterator()
     own = {r["lang"]: np.zeros(len(words)) for r in usual}
     for r in rows:
         own[r["lang"]][place[bytes(r["word"])]] = r["n"]

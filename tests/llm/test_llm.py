@@ -407,6 +407,44 @@ def test_lattice_scores(spark, odd, empty, docs, texts, heavy):
         assert lattice.score(empty, PIECES).count() == 0
 
 
+def test_lattice_scores_follow_the_model(spark):
+    """Scores of whole texts from all segmentations, counts, draws and languages, as the module defines them."""
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % (9 + i % 4)}" for j in range(i % 6 + 1)) + (" The " * (i % 3)), "ab"[i % 2]) for i in range(60)]
+    out = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, _, _ in rows}
+    tokens = lambda t: [*t.lower().encode().split(), b""]
+    by = defaultdict(Counter)
+    for i, t, lang in rows:
+        if not out[i]:
+            by[lang].update(tokens(t))
+    counts = by["a"] + by["b"]
+    n, c = sum(counts.values()), lattice.CONCENTRATION
+    spell = lattice.DISCOUNT * len(counts) / n
+    of = lattice.Lattice(PIECES, lattice.fit(spark.createDataFrame([(bytearray(w), k) for w, k in counts.items()], "word binary, n long"), PIECES))
+    mass = lambda w: c * (max(counts[w] - lattice.DISCOUNT, 0) / n + spell * math.exp(of.word(w)))
+    seen = sum(mass(w) for w in counts)
+    own = lambda lang, w: seen * (by[lang][w] + lattice.SMOOTH * mass(w) / seen) / (sum(by[lang].values()) + lattice.SMOOTH)
+    rises = lambda m, k: sum(math.log(m + j) for j in range(k))
+
+    def expected(text):
+        words = Counter(tokens(text))
+        known = {w: k for w, k in words.items() if w in counts}
+        ways = [math.log(0.1) + sum(rises(mass(w), k) for w, k in known.items())]
+        ways += [math.log(0.9 * sum(by[x].values()) / n) + sum(rises(own(x, w), k) for w, k in known.items()) for x in "ab"]
+        rest = sum(rises(mass(w), k) for w, k in words.items() if w not in counts)
+        whole = math.log(sum(map(math.exp, ways))) + rest + math.lgamma(c) - math.lgamma(c + sum(words.values()))
+        return whole / math.log(10)
+
+    rows.append((next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 10 == 0), "never seen w1 w1 never", "c"))
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.score for r in lattice.score(frame(rows), PIECES).collect()}
+    for i, text, _ in rows:
+        assert math.isclose(got[i], expected(text), rel_tol=1e-6), (i, got[i], expected(text))
+    # what other held-out rows there are, and in which language, changes nothing
+    more = [(i, "never seen again w1 w1 w5 w6", x) for i, x in zip([i for i in range(200, 400) if zlib.crc32(str(i).encode()) % 10 == 0], "abcdefgh")]
+    again = {r.doc_id: (r.score, r.train_tokens) for r in lattice.score(frame(rows + more), PIECES).collect()}
+    assert all(math.isclose(again[i][0], s, rel_tol=1e-12) for i, s in got.items()) and again[rows[0][0]][1] == n
+
+
 def test_simhash_tiles_equal_brute_force(spark, odd, empty):
     rng = np.random.default_rng(8)
     centres = rng.integers(0, 2**63, 40, dtype=np.uint64)
