@@ -478,6 +478,23 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(60)}}
 
 
+@pytest.mark.parametrize("shape", ["sorted", "shuffled", "zigzag", "star"])
+def test_components_take_few_rounds(spark, shape, monkeypatch):
+    n = 10_000 if shape == "sorted" else 2_000
+    names = list(range(n))
+    if shape != "sorted":
+        names = np.random.default_rng(3).permutation(n).tolist()
+    if shape == "zigzag":
+        names = [x for pair in zip(range(n // 2), range(n // 2, n)) for x in pair]
+    edges = [(names[0], x) for x in names[1:]] if shape == "star" else list(zip(names, names[1:]))
+    written = []
+    cut = graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df, label: written.append(label) or cut(df, label))
+    got = graph.components(spark.createDataFrame(edges, "a long, b long"))
+    assert got.filter("root = 0").count() == n and len(written) < 26, written
+    assert sum(x == "edges" for x in written) - 1 <= 8  # contractions
+
+
 def test_fingerprints(spark, odd, empty, docs, texts):
     got = {r.doc_id: r for r in queries.op9_fingerprints(spark, SF).collect()}
     order = sorted(texts)
