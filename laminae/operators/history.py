@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from laminae.operators.ordered import same_keys
+from laminae.operators.ordered import carry_last, same_keys
 from laminae.operators.scd import END, START
 
 # Fixed value: end of an open version in the standard view.
@@ -69,34 +69,30 @@ def join_as_of(
     keys: list[str],
     at: str,
     columns: list[str],
-    unit: str = "month",
     how: str = "inner",
+    limit: int | None = None,
 ) -> DataFrame:
-    """Each fact with the version valid at its own time.
+    """Each fact with the version valid at its own time. Versions of a key must not overlap, as in any history.
 
-    The interval condition becomes an equi-join: a version is listed under every time bucket it
-    covers and a fact looks in its own bucket only. A key that holds a third of the facts is so
-    divided over its buckets, and AQE can split what is still uneven. Open versions end at the
-    last fact; the bounds come back as one row.
+    A sweep: facts and versions are read as one list in order of key and time, and each fact takes the last
+    version that started before it, if that has not ended. Every row is shuffled once and no version is listed
+    more than once. A key with more than `limit` rows is divided along time, and the version in force is carried
+    over each border.
     """
-    span = facts.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).head()
-    if span.lo is None:
-        span = history.agg(F.min(START).alias("lo"), F.max(START).alias("hi")).head()
-    low, high = F.lit(span.lo).cast("timestamp_ntz"), F.lit(span.hi).cast("timestamp_ntz")
-    trunc = lambda c: F.date_trunc(unit, c.cast("timestamp_ntz"))
-    first = F.greatest(F.col(START).cast("timestamp_ntz"), low)
-    last = F.least(F.coalesce(F.col(END).cast("timestamp_ntz"), high), high)
-    listed = (
-        history.where(first <= last)
-        .select(*keys, *columns, START, END, F.explode(F.sequence(trunc(first), trunc(last), F.expr(f"INTERVAL 1 {unit}"))).alias("_bucket"))
-        .alias("h")
-    )
-    f = facts.withColumn("_bucket", trunc(F.col(at))).alias("f")
-    on = same_keys("f", "h", keys) & (F.col("f._bucket") == F.col("h._bucket"))
-    on = on & covers(F.col(f"f.{at}"), F.col(f"h.{START}"), F.col(f"h.{END}"))
-    return f.join(listed, on, how).select(
-        *[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"h.{c}") for c in columns]
-    )
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown kind of join {how!r}")
+    moment = lambda c: F.col(c).cast("timestamp_ntz")
+    key = lambda df: [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    version = F.struct(moment(END).alias("until"), F.struct(*columns).alias("row")).alias("_version")
+    fact = F.struct(*facts.columns).alias("_fact")
+    known = history.select(*key(history), moment(START).alias("_at"), F.lit(0).alias("_kind"), version)
+    asked = facts.select(*key(facts), moment(at).alias("_at"), F.lit(1).alias("_kind"), fact)
+    listed = asked.unionByName(known, allowMissingColumns=True)
+    swept = carry_last(listed, names, ["_at", "_kind"], F.col("_version"), "_found", F.lit(0), limit).where("_kind = 1")
+    valid = F.col("_at").isNotNull() & F.col("_found").isNotNull() & (F.col("_found.until").isNull() | (F.col("_found.until") > F.col("_at")))
+    swept = swept.where(valid) if how == "inner" else swept.withColumn("_found", F.when(valid, F.col("_found")))
+    return swept.select("_fact.*", *[F.col(f"_found.row.{c}").alias(c) for c in columns])
 
 
 def join_current(facts: DataFrame, history: DataFrame, keys: list[str], columns: list[str], how: str = "inner") -> DataFrame:

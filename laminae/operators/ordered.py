@@ -141,6 +141,20 @@ def with_neighbours(
     return _attach(local, borders, added, df.columns)
 
 
+def carry_last(
+    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, segment: Column | None = None, limit: int | None = None
+) -> DataFrame:
+    """The last non-null value of the key up to each row: inside the cell by a window, from before it by one
+    row for each cell."""
+    source = (df if segment is None else celled(df, keys, segment, order, limit)).withColumn("_value", value)
+    within = W.partitionBy("_cell").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    before = _across(keys).rowsBetween(W.unboundedPreceding, -1)
+    local = source.withColumn("_local", F.last("_value", ignorenulls=True).over(within))
+    newest = source.groupBy("_cell").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_last"))
+    carried = newest.select("_cell", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    return _attach(local, carried, {name: F.coalesce(F.col("l._local"), F.col("r._before"))}, df.columns)
+
+
 def running_sum(
     df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, segment: Column | None = None, limit: int | None = None
 ) -> DataFrame:
