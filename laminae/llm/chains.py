@@ -461,11 +461,14 @@ def _joined(pieces: DataFrame) -> DataFrame:
 
 def without(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with the spans (doc_id, part, start_word, n_words) taken out of its texts; all rows stay."""
-    own = spans.groupBy("doc_id", "part").agg(F.collect_list(F.struct("start_word", "n_words")).alias("_cut"))  # fewer than words
-    marked = df.withColumn("_part", F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).cast("long"))
-    joined = marked.join(own.select(F.col("doc_id").alias("_doc"), F.col("part").alias("_own"), "_cut"), (F.col(id_col).cast("long") == F.col("_doc")) & (F.col("_part") == F.col("_own")), "left")
-    cut = F.when(F.col("_cut").isNotNull(), _remove(F.col(text_col), F.col("_cut"))).otherwise(F.col(text_col))
-    return joined.withColumn(text_col, cut).select(*df.columns)
+    own = spans.groupBy("doc_id", "part").agg(F.collect_list(F.struct("start_word", "n_words")).alias("cut"))  # fewer than words
+    part = F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).cast("long")
+    # rows go as one column, so that no name of theirs can clash
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), part.alias("part"), F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in df.columns]).alias("row"))
+    joined = rows.join(own, ["doc_id", "part"], "left")
+    cut = F.when(F.col("cut").isNotNull(), _remove(F.col("text"), F.col("cut"))).otherwise(F.col("text"))
+    made = joined.select("row", cut.alias("text"))
+    return made.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns])
 
 
 @F.pandas_udf(T.StringType())

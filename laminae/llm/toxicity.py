@@ -6,8 +6,8 @@ hashed into 2^bits places. FTRL-proximal keeps a learning rate for each coordina
 that leaves most weights at exactly zero, so what is shipped to the tasks that score is a short list
 of places and weights. Its size never exceeds 2^bits entries.
 
-Learning takes a bounded sample of the labelled rows: at most sample rows of each label, those with
-the smallest hash of their id. Features are made where the rows are; one task then sees the sampled
+Learning takes a bounded sample of the labelled rows: at most sample ids of each label, those with
+the smallest hash, and one text of each. Features are made where the rows are; one task then sees the sampled
 rows' places, kept as compressed gaps and unpacked row by row. Scoring covers every row and is one
 pass without a shuffle.
 
@@ -42,7 +42,7 @@ class Features(dict):
 
     def __init__(self, bits: int):
         super().__init__()
-        self.bits, self.used, self.table = np.uint64(64 - bits), 0, np.zeros((1024, 3), np.uint64)
+        self.bits, self.used, self.table, self.letters = np.uint64(64 - bits), 0, np.zeros((1024, 3), np.uint64), 0
 
     def __missing__(self, word: str) -> int:
         if self.used == len(self.table):
@@ -50,14 +50,15 @@ class Features(dict):
         row = [crc32(x.encode("utf-8", "replace")) | kind << 32 for kind, x in ((1, word), (2, word[:4]), (3, word[:5]))]
         self.table[self.used] = row
         self[word] = self.used
+        self.letters += len(word)
         self.used += 1
         return self.used - 1
 
     def of(self, text: str) -> np.ndarray:
         """Sorted distinct places; place 0 is the constant."""
-        if len(self) > _REMEMBER:
+        if len(self) > _REMEMBER or self.letters > 20 * _REMEMBER:  # long words count by their letters
             self.clear()
-            self.used = 0
+            self.used = self.letters = 0
         words = _WORD(text.lower())
         rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         single = self.table[rows]
@@ -141,7 +142,9 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             at, weight = fit([r[2] for r in rows], [r[3] for r in rows], bits, settings)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(weight, pa.float64())], ["place", "weight"])
 
-    made = picked.mapInArrow(places, "doc_id long, label int, places binary").repartition(1)  # two bounded samples
+    made = picked.mapInArrow(places, "doc_id long, label int, places binary")
+    # one text for each id, however many rows repeat it: two bounded samples
+    made = made.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("places").alias("places")).repartition(1)
     table = made.mapInArrow(learn, "place int, weight double").toPandas()
     return table["place"].to_numpy(np.int32), table["weight"].to_numpy(np.float64)
 
