@@ -7,6 +7,8 @@ journal: a run that dies at any write is carried on by the next one, which loses
 
 from __future__ import annotations
 
+import hashlib
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -117,6 +119,12 @@ def _delivered(run: Run, c: TableContract, prev: DataFrame | None, mark: str | N
     if change:
         row = schema_drift.drift_record(run.spark, c.target_name, source.schema, change, str(run.at))
         row.coalesce(1).write.mode("append").parquet(run.path("control", "schema_drift"))
+        if c.drift["alert_on_drift"]:
+            warnings.warn(f"{c.target_name}: schema drift {change.by_kind()}", stacklevel=2)
+    if change or prev is None:
+        text = source.schema.json()
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        run.control.append("source_metadata", [(c.target_name, c.source_schema, c.source_table, digest, text, run.at)])
     loaded = with_ingest_metadata(source, c.source, c.database, c.source_schema, c.source_table, c.strategy, run.instant())
     return quality.apply_rules(loaded, list(c.rules))
 

@@ -295,6 +295,35 @@ def drift_evolve(spark, sf):
     return drift.evolve_union(old, new)
 
 
+@query(
+    "drift_evolve_nested",
+    """SELECT o_orderkey, o_orderstatus AS status, o_totalprice AS price, NULL::VARCHAR AS priority, 1::BIGINT AS steps, NULL::VARCHAR AS last_step, o_custkey::BIGINT AS rank, NULL::BIGINT AS year FROM orders
+UNION ALL SELECT o_orderkey, o_orderstatus, NULL, o_orderpriority, 2, o_orderpriority, o_custkey, year(o_orderdate) FROM orders""",
+)
+def drift_evolve_nested(spark, sf):
+    """Two deliveries of nested orders: the second has other fields in its struct, in its array's structs and in its
+    map's, and a wider number."""
+    o = Tables(spark, sf).orders
+    first = o.select(
+        "o_orderkey",
+        F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price")).alias("head"),
+        F.array(F.struct(F.col("o_orderstatus").alias("code"))).alias("steps"),
+        F.create_map(F.lit("ship"), F.struct(F.col("o_custkey").cast("int").alias("rank"))).alias("notes"),
+    )
+    second = o.select(
+        "o_orderkey",
+        F.struct(F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status")).alias("head"),
+        F.array(*[F.struct(F.col("o_orderstatus").alias("code"), F.col("o_orderpriority").alias("text"))] * 2).alias("steps"),
+        F.create_map(F.lit("ship"), F.struct(F.year("o_orderdate").cast("bigint").alias("year"), F.col("o_custkey").cast("bigint").alias("rank"))).alias("notes"),
+    )
+    kept = drift.evolve_union(first, second)
+    note = F.col("notes")["ship"]
+    return kept.select(
+        "o_orderkey", "head.status", "head.price", "head.priority", F.size("steps").cast("bigint").alias("steps"),
+        F.element_at("steps", -1)["text"].alias("last_step"), note["rank"].alias("rank"), note["year"].alias("year"),
+    )
+
+
 # ---- reconciliation and health -----------------------------------------------------------------
 
 _COMPARE_SQL = f"""WITH a AS ({active_sql(DATES[1])}), b AS ({active_sql(DATES[0])})
