@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -183,21 +185,27 @@ def clean_users_pattern(spark, sf):
     return kept.withColumn("updated_at", F.to_timestamp_ntz("updated_at", F.lit("yyyy-MM-dd HH:mm:ss")))
 
 
+_NET = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
+
+
 @query(
     "order_enrich_pattern",
-    """SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS order_total, l_quantity * l_extendedprice * l_discount AS discount_amount,
-       l_quantity * l_extendedprice - l_quantity * l_extendedprice * l_discount AS final_amount,
-       CASE WHEN l_quantity * l_extendedprice - l_quantity * l_extendedprice * l_discount > 1000000 THEN 'large'
-            WHEN l_quantity * l_extendedprice - l_quantity * l_extendedprice * l_discount > 100000 THEN 'medium' ELSE 'small' END AS order_category
-FROM lineitem WHERE l_orderkey IS NOT NULL AND l_shipdate IS NOT NULL AND l_quantity * l_extendedprice - l_quantity * l_extendedprice * l_discount > 0""",
+    f"""SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS unit_price, {_NET} AS net,
+ 'class_' || CASE WHEN {_NET} < 10000 THEN 1 WHEN {_NET} < 40000 THEN 2 ELSE 3 END AS line_class FROM lineitem WHERE l_quantity > 0 AND l_shipdate >= TIMESTAMP '1995-01-01'""",
 )
 def order_enrich_pattern(spark, sf):
-    total = F.col("l_quantity") * F.col("l_extendedprice")
-    cut = total * F.col("l_discount")
-    lines = Tables(spark, sf).lineitem.where(F.col("l_orderkey").isNotNull() & F.col("l_shipdate").isNotNull())
-    priced = lines.select("l_orderkey", "l_linenumber", total.alias("order_total"), cut.alias("discount_amount"), (total - cut).alias("final_amount"))
-    size = F.when(F.col("final_amount") > 1_000_000, "large").when(F.col("final_amount") > 100_000, "medium").otherwise("small")
-    return priced.where(F.col("final_amount") > 0).withColumn("order_category", size)
+    """Lines shipped since a date, with what one piece costs, what is paid in the end, and a class by that."""
+    net = F.expr(_NET)
+    bounds = [10_000, 40_000]
+    number = reduce(lambda n, bound: n + (net >= bound).cast("int"), bounds, F.lit(1))
+    shipped = Tables(spark, sf).lineitem.where((F.col("l_quantity") > 0) & (F.col("l_shipdate") >= at("1995-01-01")))
+    return shipped.select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        net.alias("net"),
+        F.concat(F.lit("class_"), number.cast("string")).alias("line_class"),
+    )
 
 
 @query(

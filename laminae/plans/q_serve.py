@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from laminae.operators import metrics, monitor, profile, security, vectors
-from laminae.plans.registry import Tables, at, query
+from laminae.operators.keyword_index import KeywordIndex
+from laminae.operators.vector_index import VectorIndex
+from laminae.plans.registry import ORACLES, Tables, at, query
 from laminae.plans.snapshots import DATES, active_customers, active_sql
+from laminae.session import cut_lineage, scratch_path
 
 # ---- profiles ----------------------------------------------------------------------------------
 
@@ -281,6 +286,34 @@ def vec_ann(spark, sf):
     return vectors.ann(Tables(spark, sf).embeddings, "embedding", first_vector(spark, sf), "vec_id")
 
 
+@query("vec_index_recall", "SELECT 10 AS k, CASE WHEN COUNT(*) < 10 THEN COUNT(*) ELSE 10 END AS found, TRUE AS enough FROM embeddings")
+def vec_index_recall(spark, sf):
+    """A stored index finds nine tenths of the ten nearest rows of ten rows, and as many as there are to find."""
+    rows = Tables(spark, sf).embeddings.select("vec_id", "embedding", "label")
+    index = VectorIndex.build(rows, scratch_path(spark, "vectors"), "vec_id", "embedding")
+    asked = rows.orderBy(F.xxhash64("vec_id")).limit(10).collect()
+    hits = [index.search(r.embedding, 10).withColumn("asked", F.lit(r.vec_id)) for r in asked]
+    near = [vectors.topk(rows, "embedding", r.embedding, "vec_id", 10).withColumn("asked", F.lit(r.vec_id)) for r in asked]
+    found, wanted = (cut_lineage(reduce(lambda a, b: a.unionAll(b), x), "near") for x in (hits, near))
+    met = wanted.join(found.select("asked", "vec_id", F.lit(1).alias("hit")), ["asked", "vec_id"], "left")
+    each = found.groupBy("asked").count()
+    return met.agg((F.sum("hit") >= 0.9 * F.count(F.lit(1))).alias("enough")).select(
+        F.lit(10).alias("k"), each.agg(F.min("count")).scalar().alias("found"), "enough"
+    )
+
+
+@query("vec_index_sync", vec_sql("label <> 1", 10).replace("vec_id, label, ROUND", "vec_id, CASE WHEN label = 0 THEN 100 ELSE label END AS label, ROUND"))
+def vec_index_sync(spark, sf):
+    """A stored index brought to a source that lost one label and renumbered another; all of its lists are searched."""
+    rows = Tables(spark, sf).embeddings.select("vec_id", "embedding", "label")
+    index = VectorIndex.build(rows, scratch_path(spark, "vectors"), "vec_id", "embedding")
+    index.delete(rows.where("label = 1 AND vec_id % 2 = 0"))
+    index.upsert(rows.where("label = 0 AND vec_id % 2 = 0").withColumn("label", F.lit(100)))
+    index.sync(rows.where("label <> 1").withColumn("label", F.when(F.col("label") == 0, 100).otherwise(F.col("label"))))
+    got = index.search(first_vector(spark, sf), 10, len(index.centroids), ["vec_id", "label"])
+    return got.withColumn("score", F.round("score", 8))
+
+
 # Fixed value: the words of the hybrid query.
 HYBRID_TERMS = ["the", "that", "than"]
 
@@ -306,6 +339,20 @@ def vec_keyword(spark, sf):
     return got.withColumn("keyword_score", F.round("keyword_score", 6))
 
 
+@query("vec_keyword_index", ORACLES["vec_keyword"])
+def vec_keyword_index(spark, sf):
+    """The same scores from stored postings: no text is read for the query."""
+    index = KeywordIndex.build(Tables(spark, sf).documents, scratch_path(spark, "postings"), "doc_id", "text")
+    return index.scores(HYBRID_TERMS).withColumn("keyword_score", F.round("keyword_score", 6))
+
+
+@query("vec_keyword_topk", f"SELECT * FROM ({ORACLES['vec_keyword']}) ORDER BY keyword_score DESC, doc_id LIMIT 20")
+def vec_keyword_topk(spark, sf):
+    """The best of them, by the blocks that can hold them."""
+    index = KeywordIndex.build(Tables(spark, sf).documents, scratch_path(spark, "postings"), "doc_id", "text")
+    return index.search(HYBRID_TERMS, 20).withColumn("keyword_score", F.round("keyword_score", 6))
+
+
 @query("vec_upsert", "SELECT vec_id, CASE WHEN label = 0 THEN 100 ELSE label END AS label FROM embeddings")
 def vec_upsert(spark, sf):
     index = Tables(spark, sf).embeddings.select("vec_id", "label")

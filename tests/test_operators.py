@@ -220,22 +220,33 @@ def test_sweep_shuffles_each_row_once(spark):
 
 
 @pytest.fixture
-def products(spark):
-    rows = [(i, f"p{i}", "ab"[i % 2], 1.5 * i, i, float(i), ["t"], datetime(2024, 1, i + 1), i % 2 == 0) for i in range(1, 6)]
-    ddl = "product_id bigint, name string, category string, price double, stock int, rating float, tags array<string>, created_at timestamp, active boolean"
-    return spark.createDataFrame(rows, ddl)
+def lines(spark):
+    """Order lines with a column of each kind that a profile tells apart."""
+    n = F.col("id") + 1
+    return spark.range(5).select(
+        n.alias("line_id"),
+        F.concat(F.lit("clerk "), n.cast("string")).alias("l_clerk"),
+        F.when(n % 2 == 1, "R").otherwise("A").alias("l_returnflag"),
+        (n * 0.02).alias("l_discount"),
+        (n * 7).cast("int").alias("l_quantity"),
+        n.cast("float").alias("l_weight"),
+        F.array(F.lit("AIR")).alias("l_shipmodes"),
+        F.expr("timestamp'1995-03-01' + make_dt_interval(int(id))").alias("l_shipdate"),
+        (n > 3).alias("l_open"),
+    )
 
 
-def test_profile_types_and_fields(products):
-    got = {r.column_name: r for r in profile.profile(products).collect()}
+def test_profile_types_and_fields(lines):
+    got = {r.column_name: r for r in profile.profile(lines).collect()}
     kinds = {n: r.data_type for n, r in got.items()}
-    assert kinds == dict(product_id="id", name="categorical", category="categorical", price="numeric", stock="numeric", rating="numeric", tags="array", created_at="timestamp", active="boolean")
-    assert (got["price"].min_value, got["price"].max_value, got["price"].median) == ("1.5", "7.5", 4.5)
-    assert got["tags"].unique_count is None and got["tags"].total_count == 5
-    assert got["created_at"].histogram and got["name"].min_value is None
-    light = profile.at_level(profile.profile(products), "SIMPLE").columns
+    numeric = ["l_discount", "l_quantity", "l_weight"]
+    assert kinds == {"line_id": "id", "l_clerk": "categorical", "l_returnflag": "categorical", **dict.fromkeys(numeric, "numeric"), "l_shipmodes": "array", "l_shipdate": "timestamp", "l_open": "boolean"}
+    assert (got["l_quantity"].min_value, got["l_quantity"].max_value, got["l_quantity"].median) == ("7", "35", 21)
+    assert got["l_shipmodes"].unique_count is None and got["l_shipmodes"].total_count == 5
+    assert got["l_shipdate"].histogram and got["l_clerk"].min_value is None
+    light = profile.at_level(profile.profile(lines), "SIMPLE").columns
     assert "histogram" not in light and "stddev_value" not in light and "q1" not in light
-    assert profile.at_level(profile.profile(products), "NONE").columns == ["column_name", "data_type"]
+    assert profile.at_level(profile.profile(lines), "NONE").columns == ["column_name", "data_type"]
 
 
 def test_profile_is_one_scan(spark):
@@ -249,12 +260,12 @@ def test_many_distinct_values_become_string(spark):
     assert [(r.column_name, r.data_type) for r in row] == [("txt", "string")]
 
 
-def test_value_counts_and_samples(products):
-    assert set(profile.countable_columns(products)) == {"name", "category", "active"}
-    got = {(r.column_name, r.value): r["count"] for r in profile.value_counts(products, ["category", "active"]).collect()}
-    assert got[("category", "b")] == 3 and got[("active", "true")] == 2
-    samples = profile.sample_values(products.withColumn("name", F.lit("a very long product name")))
-    assert samples["name"] == ["a very long pro..."] and len(samples["price"]) == 3
+def test_value_counts_and_samples(lines):
+    assert set(profile.countable_columns(lines)) == {"l_clerk", "l_returnflag", "l_open"}
+    got = {(r.column_name, r.value): r["count"] for r in profile.value_counts(lines, ["l_returnflag", "l_open"]).collect()}
+    assert got[("l_returnflag", "R")] == 3 and got[("l_open", "true")] == 2
+    samples = profile.sample_values(lines.withColumn("l_clerk", F.lit("a clerk with a long name")))
+    assert samples["l_clerk"] == ["a clerk with a ..."] and len(samples["l_discount"]) == 3
 
 
 def test_table_patterns_and_cache(spark, run_dir):
