@@ -13,8 +13,8 @@ tokens; what the discount frees is shared by all spellings, so probabilities add
 Within a text, words are drawn from these probabilities with reinforcement (a Polya urn of the given
 concentration): a word already seen in the text is likelier to come again. The product does not
 depend on the order, so the score is a sum over the text's distinct words. For the frequent words it
-is a mixture: a text is drawn from all languages together or from one of those with at least a hundredth of the
-training tokens (so they are at most a hundred), each with its own counts of these words. Languages are
+is a mixture: a text is drawn from all languages together or from one of those with at least a fiftieth of the
+training tokens (so they are at most fifty), each with its own counts of these words. Languages are
 looked at in training rows only, and of the other rows nothing is learned: their scores stay the same
 whatever other such rows there are.
 
@@ -46,8 +46,8 @@ from laminae.session import cut_lineage
 
 START = "▁"
 END = b""  # no word is empty, so this stands for the end
-HEAVY, DISCOUNT, CONCENTRATION, SMOOTH, ROUNDS, FLUSH = 100_000, 0.5, 2000.0, 200.0, 1, 200_000
-MIN_SHARE = 0.01  # of the training tokens, for a language to be a part of the mixture
+HEAVY, DISCOUNT, CONCENTRATION, SMOOTH, ROUNDS, FLUSH = 400_000, 0.5, 2000.0, 200.0, 1, 200_000
+MIN_SHARE = 0.02  # of the training tokens, for a language to be a part of the mixture
 
 
 class Lattice:
