@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from laminae.functions.audit import instant
 from laminae.operators.ordered import same_keys
+from laminae.session import cut_lineage
 
 # Reconciliation methods.
 METHODS = ["rowcount", "key_hash", "full_snapshot"]
@@ -65,6 +66,7 @@ def key_hash(
     differing = s.join(t, F.col("s.bucket") == F.col("t.bucket"), "full_outer").where(
         ~F.col("s.n").eqNullSafe(F.col("t.n")) | ~F.col("s.h").eqNullSafe(F.col("t.h"))
     ).select(F.coalesce("s.bucket", "t.bucket").alias("_bucket"))
+    differing = cut_lineage(differing, "buckets")  # at most `buckets` rows, found once for both sides
 
     def suspects(df: DataFrame) -> DataFrame:
         bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))

@@ -10,7 +10,9 @@ from pyspark.sql import Window as W
 from laminae.functions.audit import with_ingest_metadata
 from laminae.operators import conform, ordered, profile
 from laminae.operators.scd import latest_per_key
+from laminae.operators.sketches import Sketches, SketchTable
 from laminae.plans.registry import EVENTS_NOW, ORDERS_NOW, Tables, at, money, query
+from laminae.session import cut_lineage, scratch_path
 from laminae.sources import files, logs, tables
 
 STAMP = "2024-02-01 00:00:00"
@@ -418,6 +420,32 @@ def agg_approx_distinct(spark, sf):
     return Tables(spark, sf).lineitem.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey").alias("parts"))
 
 
+@query(
+    "sketch_refresh",
+    "SELECT l_returnflag, COUNT(*) AS n, TRUE AS distinct_near, TRUE AS median_near FROM lineitem GROUP BY l_returnflag",
+)
+def sketch_refresh(spark, sf):
+    """Distinct parts and the median price from a stored state that three yearly increments have refreshed: exact counts,
+    and estimates within a twentieth (distinct) and a fiftieth of the rows (median)."""
+    lines = Tables(spark, sf).lineitem.select("l_returnflag", "l_partkey", "l_extendedprice", "l_shipdate")
+    table = SketchTable(spark, scratch_path(spark, "sketches"), Sketches(("l_returnflag",), ("l_partkey",), ("l_extendedprice",)))
+    cuts = [at("1995-01-01"), at("1998-01-01")]
+    when = F.coalesce(F.col("l_shipdate"), cuts[0])
+    for n, part in enumerate([when < cuts[0], (when >= cuts[0]) & (when < cuts[1]), when >= cuts[1]], 1):
+        table.refresh(lines.where(part), n)
+    held = cut_lineage(table.estimates({"median": 0.5}), "estimates").withColumnRenamed("n", "stored")
+    below = F.sum((F.col("l_extendedprice") <= F.col("l_extendedprice_median")).cast("int"))
+    # the exact figures, from all rows
+    parts = lines.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"))
+    ranks = lines.join(held, "l_returnflag").groupBy("l_returnflag", "stored", "l_partkey_distinct").agg(below.alias("below"))
+    return ranks.join(parts, "l_returnflag").select(
+        "l_returnflag",
+        F.col("stored").alias("n"),
+        (F.abs(F.col("l_partkey_distinct") - F.col("parts")) <= 0.05 * F.col("parts")).alias("distinct_near"),
+        (F.abs(F.col("below") / F.col("stored") - 0.5) <= 0.02).alias("median_near"),
+    )
+
+
 @query(
     "agg_histogram",
     """WITH b AS (SELECT MIN(value) AS lo, (MAX(value) - MIN(value)) / 10 AS w FROM events)

@@ -115,11 +115,14 @@ def snapshot_audit(spark, sf):
 # ---- streams -----------------------------------------------------------------------------------
 
 
-def feed(spark, df, label: str):
-    """The frame as a file stream that delivers it in three unordered parts, one per batch."""
+def feed(spark, df, label: str, parts: int = 3):
+    """The frame as a file stream of deliveries in no order of time. Each has the files that its tasks wrote, and a
+    batch takes as many files as a delivery has, so batches are read by as many tasks as the input."""
     path = scratch_path(spark, label)
-    df.repartition(3, F.xxhash64("event_id")).write.option("maxRecordsPerFile", 0).parquet(path)
-    return files.stream_files(spark, path, schema=df.schema, max_files_per_trigger=1)
+    for i in range(parts):
+        df.where(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == i).write.parquet(f"{path}/{i}")
+    largest = max(len(spark.read.schema(df.schema).parquet(f"{path}/{i}").inputFiles()) for i in range(parts))
+    return files.stream_files(spark, f"{path}/*", schema=df.schema, max_files_per_trigger=max(1, largest))
 
 
 def drained(spark, stream, label: str):
@@ -176,7 +179,7 @@ def st_anomaly_route(spark, sf):
     middle = F.lit(rows.agg(F.percentile_approx("ts", 0.5)).head()[0]).cast("timestamp_ntz")
     later = F.coalesce(F.col("ts") >= middle, F.lit(False))
     for i, part in enumerate([~later, later]):
-        rows.where(part).coalesce(1).write.parquet(f"{path}/in/{i}")
+        rows.where(part).write.parquet(f"{path}/in/{i}")
         stream = files.stream_files(spark, f"{path}/in/*", schema=rows.schema)
         anomalies.route(stream, ["user_id"], ["ts", "event_id"], "value", f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out/alerts").select("event_id", "user_id", "value", "anomaly_flag")

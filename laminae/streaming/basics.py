@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,11 +71,15 @@ def fan_in(streams: list[DataFrame]) -> DataFrame:
     return out
 
 
+def backfill_number(name: str) -> int:
+    return -1 - crc32(name.encode())
+
+
 def backfill_once(df: DataFrame, path: str, name: str) -> bool:
     """One-time batch load into a streamed target. The folder of the backfill is its marker: when
-    it was committed before, nothing happens."""
+    it was committed before, nothing happens. Its number is negative, below those of all micro-batches."""
     spark = df.sparkSession
-    place = f"{path}/_batch_id=backfill-{name}"
+    place = f"{path}/_batch_id={backfill_number(name)}"
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
     if marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
         return False

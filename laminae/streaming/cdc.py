@@ -14,7 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from laminae.operators import scd
 from laminae.sinks import versions
-from laminae.streaming.basics import write_batches
+from laminae.streaming.basics import backfill_once, write_batches
+
+
+_BACKFILLS = 1000  # fewer are expected of one table
 
 
 class ChangeState:
@@ -34,13 +37,19 @@ class ChangeState:
         return write_batches(stream, f"{self.path}/log", f"{self.path}/checkpoint", mode, interval)
 
     def log(self, after: int = -1) -> DataFrame:
-        """Change events of batches numbered above `after`; the folder number prunes the others."""
+        """Change events of batches numbered above `after`; the folder number prunes the others. Backfills have
+        negative numbers and may come at any time, so they always belong to it: events applied twice change
+        nothing."""
         df = self.spark.read.parquet(f"{self.path}/log")
-        return df.where(F.col("_batch_id") > after).drop("_batch_id")
+        return df.where((F.col("_batch_id") > after) | (F.col("_batch_id") < 0)).drop("_batch_id")
+
+    def backfill(self, df: DataFrame, name: str) -> bool:
+        """Load earlier events once; False if that was done before."""
+        return backfill_once(df, f"{self.path}/log", name)
 
     def newest_batch(self) -> int:
         """Number of the last finished batch, from the folder names."""
-        return max(int(v) for v in versions.committed(self.spark, f"{self.path}/log", "_batch_id="))
+        return max([-1, *(int(v) for v in versions.committed(self.spark, f"{self.path}/log", "_batch_id="))])
 
     def _newest(self, keep_tombstones: bool) -> DataFrame:
         base_version = versions.latest_version(self.spark, f"{self.path}/base")
@@ -65,18 +74,25 @@ class ChangeState:
         return scd.cdc_scd2(self.log(), self.keys, self.seq, self.delete_when, self.except_columns, **cdc)
 
     def refresh_history(self, **cdc) -> int:
-        """Bring the stored history up to the newest batch, rebuilding only keys with new events."""
+        """Bring the stored history up to the newest batch, rebuilding only keys with new events. A version is
+        numbered by the batches and the backfills that it holds."""
         place, upto = f"{self.path}/history", self.newest_batch()
-        done = versions.latest_version(self.spark, place)
-        if done > upto:
+        backfills = sum(int(v) < 0 for v in versions.committed(self.spark, f"{self.path}/log", "_batch_id="))
+        if backfills >= _BACKFILLS:
+            raise ValueError(f"more than {_BACKFILLS - 1} backfills")
+        done, number = versions.latest_version(self.spark, place), (upto + 1) * _BACKFILLS + backfills
+        if done >= number:
             return upto
         if not done:
             fresh = self.history(**cdc)
         else:
             options = {"seq": self.seq, "delete_when": self.delete_when, "except_columns": self.except_columns, **cdc}
             stored = versions.read_version(self.spark, place, done)
-            fresh = scd.merge_history(stored, self.log(), self.log(done - 1), self.keys, **options)
-        versions.write_version(fresh, place, upto + 1)
+            touched = self.log(done // _BACKFILLS - 1)
+            if done % _BACKFILLS == backfills:
+                touched = self.spark.read.parquet(f"{self.path}/log").where(F.col("_batch_id") >= done // _BACKFILLS)
+            fresh = scd.merge_history(stored, self.log(), touched, self.keys, **options)
+        versions.write_version(fresh, place, number)
         return upto
 
     def stored_history(self) -> DataFrame:

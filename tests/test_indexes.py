@@ -1,4 +1,4 @@
-"""Stored indexes of vectors and words against full scans."""
+"""Stored indexes of vectors and words, sketches and clustered layouts against full scans."""
 
 import re
 
@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from laminae.operators import keyword_index, vectors
 from laminae.operators.keyword_index import KeywordIndex
+from laminae.operators.sketches import Sketches, SketchTable
 from laminae.operators.vector_index import VectorIndex
+from laminae.sinks import tables as sink
 
 
 def physical(df):
@@ -131,3 +133,51 @@ def test_a_query_reads_its_terms_and_no_text(spark, library):
     _, index = library
     plan = physical(index.postings(["w3"]))
     assert re.search(r"PartitionFilters: \[[^\]]*folder", plan) and "EqualTo(term,w3)" in plan and "text" not in plan.split("ReadSchema")[1]
+
+
+def test_sketches_refresh_from_new_rows_only(spark, run_dir):
+    rows = spark.range(60_000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 20011).alias("k"), F.sqrt("id").alias("v"), "id")
+    table = SketchTable(spark, run_dir, Sketches(("g",), ("k",), ("v",)))
+    parts = [rows.where(f"id % 4 = {i}") for i in range(4)]
+    parts[2].write.parquet(f"{run_dir}-part")
+    for n, part in enumerate([parts[0], parts[1], spark.read.parquet(f"{run_dir}-part"), parts[3]], 1):
+        assert table.refresh(part, n) and not table.refresh(rows, n)
+    with pytest.raises(ValueError):
+        table.refresh(rows, 9)
+    exact = {r.g: r for r in rows.groupBy("g").agg(F.count("*").alias("n"), F.countDistinct("k").alias("d"), F.expr("percentile(v, array(0.1, 0.5, 0.99))").alias("q")).collect()}
+    got = table.estimates({"p10": 0.1, "p50": 0.5, "p99": 0.99}).collect()
+    assert len(got) == 3
+    for r in got:
+        e = exact[r.g]
+        assert r.n == e.n and abs(r.k_distinct / e.d - 1) < 0.05
+        # a share of rows below the estimate that is off by less than a hundredth
+        for p, q in ((0.1, r.v_p10), (0.5, r.v_p50), (0.99, r.v_p99)):
+            assert abs(q * q / 60_000 - p) < 0.01
+
+
+def test_sketches_take_all_kinds_and_nulls(spark):
+    rows = spark.sql("SELECT 1 AS g, DATE'2024-01-01' AS d, CAST(NULL AS STRING) AS s, 1.5 AS v UNION ALL SELECT 1, NULL, 'a', NULL UNION ALL SELECT 2, NULL, NULL, NULL")
+    made = Sketches(("g",), ("d", "s"), ("v",))
+    got = {r.g: (r.n, r.d_distinct, r.s_distinct) for r in made.estimates(made.state(rows)).collect()}
+    assert got == {1: (2, 1, 1), 2: (1, 0, 0)}
+    assert made.state(rows.limit(0)).count() == 0
+
+
+def test_a_curve_lets_a_filter_on_any_key_skip_files(spark, run_dir):
+    n = 40_000
+    rows = spark.range(n).select(
+        (F.col("id") * 7919 % 1009).alias("a"), F.concat(F.lit("k"), F.lpad((F.col("id") * 104729 % 997).cast("string"), 4, "0")).alias("b"),
+        F.when(F.col("id") % 50 > 0, F.expr("date'2020-01-01' + int(id * 31 % 1501)")).alias("c"), "id",
+    )
+    sink.write_clustered(rows, f"{run_dir}/z", ["a", "b", "c"], 64)
+    stored = spark.read.parquet(f"{run_dir}/z")
+    assert stored.columns == rows.columns and stored.exceptAll(rows).isEmpty() and stored.count() == n
+    sizes = stored.groupBy(F.col("_metadata.file_name").alias("f")).agg(*[x for k in "abc" for x in (F.min(k).alias(f"{k}_lo"), F.max(k).alias(f"{k}_hi"))]).collect()
+    assert len(sizes) >= 48
+    opened = lambda k, v: sum(r[f"{k}_lo"] is not None and r[f"{k}_lo"] <= v <= r[f"{k}_hi"] for r in sizes) / len(sizes)
+    some = rows.where("id % 2003 = 7").collect()  # 64 files are 4 a key at best: a quarter, and twice that where ranges are cut
+    for k in "abc":
+        assert np.mean([opened(k, r[k]) for r in some]) < 0.5, k
+    # by the first key alone, the others skip nothing
+    sink.write_clustered(rows.limit(0), f"{run_dir}/none", ["a", "c"])
+    assert spark.read.schema(rows.schema).parquet(f"{run_dir}/none").count() == 0

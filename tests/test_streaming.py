@@ -169,6 +169,27 @@ def test_change_state_type1_type2_compaction_and_restart(spark, run_dir, events)
     assert state.newest_batch() == before and rows(state.current()) == rows(want1)
 
 
+def test_backfill_joins_a_running_change_state(spark, run_dir, events):
+    """Earlier events that come as one load, before or after batches, compaction and history."""
+    log = change_feed(events)
+    late, now = log.where("event_id % 3 = 0"), log.where("event_id % 3 <> 0")
+    state = ChangeState(spark, f"{run_dir}/state", ["user_id"], ["ts", "event_id"], scd.is_delete("op"), ["op"])
+    now.coalesce(1).write.parquet(f"{run_dir}/in/0")
+    state.start(files.stream_files(spark, f"{run_dir}/in/*", schema=log.schema)).awaitTermination(60)
+    state.compact()
+    state.refresh_history()
+    assert state.backfill(late, "old") and not state.backfill(late, "old")
+    state.refresh_history()
+    want1 = scd.cdc_scd1(log, ["user_id"], ["ts", "event_id"], scd.is_delete("op"), ["op"])
+    want2 = scd.cdc_scd2(log, ["user_id"], ["ts", "event_id"], scd.is_delete("op"), ["op"])
+    assert rows(state.current()) == rows(want1) and rows(state.stored_history()) == rows(want2)
+    first = ChangeState(spark, f"{run_dir}/first", ["user_id"], ["ts", "event_id"], scd.is_delete("op"), ["op"])
+    first.backfill(log, "all")
+    first.compact()
+    first.refresh_history()
+    assert rows(first.current()) == rows(want1) and rows(first.stored_history()) == rows(want2)
+
+
 def test_repeated_batch_adds_nothing(spark, run_dir, events):
     for _ in range(2):
         events.write.mode("overwrite").parquet(f"{run_dir}/out/_batch_id=0")
