@@ -23,8 +23,9 @@ from laminae.sinks import tables as sink
 from laminae.sinks import versions
 from laminae.sources import files, logs
 from laminae.sources.tables import above_watermark
-from laminae.streaming import anomalies, basics
+from laminae.streaming import anomalies, basics, dedup
 from laminae.streaming.cdc import ChangeState
+from laminae.streaming.contract import ContractStream, late_rows
 
 # ---- sources and sinks -------------------------------------------------------------------------
 
@@ -194,6 +195,59 @@ def st_recovery(spark, sf):
     return spark.read.parquet(f"{out}/data")
 
 
+_STREAMED = "SELECT event_id, event_type, value, CASE WHEN event_id % 2 = 1 THEN props END AS props FROM events WHERE event_type <> 'signup'"
+
+
+@query("medallion_stream", _STREAMED)
+def medallion_stream(spark, sf):
+    """A stream run from its contract: two starts, a rate of two files a batch, and a column that comes with the second."""
+    base, e = scratch_path(spark, "streamed"), Tables(spark, sf).events
+    doc = {"target_name": "events", "source": "files", "source_schema": "samples", "source_table": "events"}
+    load = {"strategy": "stream", "stream": {"max_offsets_per_trigger": 2}}
+    rules = [{"name": "valued", "constraint": "value > 20"}, {"name": "no_signup", "constraint": "event_type <> 'signup'", "action": "drop"}]
+    c = table_contract({**doc, "load": load, "quality": {"expectations": rules}, "schema_drift": {"alert_on_drift": False}})
+    for odd, columns in enumerate((["event_id", "event_type", "value"], ["event_id", "event_type", "value", "props"])):
+        e.where(F.col("event_id") % 2 == odd).select(*columns).write.parquet(f"{base}/in/{odd}")
+        stream = ContractStream(spark, c, f"{base}/in/*", base)
+        stream.start(at=EVENTS_NOW).awaitTermination()
+    return stream.rows().select("event_id", "event_type", "value", "props")
+
+
+@query(
+    "stream_quality",
+    """SELECT 'events' AS table_name, 'valued' AS rule_name, 'warn' AS action, COUNT(*) FILTER (WHERE value > 20) AS passed, COUNT(*) FILTER (WHERE NOT COALESCE(value > 20, FALSE)) AS failed FROM events
+UNION ALL SELECT 'events', 'no_signup', 'drop', COUNT(*) FILTER (WHERE event_type <> 'signup'), COUNT(*) FILTER (WHERE NOT COALESCE(event_type <> 'signup', FALSE)) FROM events""",
+)
+def stream_quality(spark, sf):
+    """Pass rates of a stream's rules, measured while its batches are written."""
+    base, e = scratch_path(spark, "measured"), Tables(spark, sf).events.select("event_id", "event_type", "value")
+    rules = [{"name": "valued", "constraint": "value > 20"}, {"name": "no_signup", "constraint": "event_type <> 'signup'", "action": "drop"}]
+    doc = {"target_name": "events", "source": "files", "source_schema": "samples", "source_table": "events"}
+    c = table_contract({**doc, "load": {"strategy": "stream"}, "quality": {"expectations": rules}})
+    e.write.parquet(f"{base}/in/0")
+    stream = ContractStream(spark, c, f"{base}/in/*", base)
+    stream.start(at=EVENTS_NOW).awaitTermination()
+    return stream.quality()
+
+
+_LATE = "(SELECT date_trunc('millisecond', MAX(ts)) - INTERVAL 1 HOUR FROM events WHERE event_id % 2 = 0)"
+
+
+@query("st_late_data", f"SELECT COUNT(*) FILTER (WHERE event_id % 2 = 0 OR ts > {_LATE}) AS kept, COUNT(*) FILTER (WHERE event_id % 2 = 1 AND ts <= {_LATE}) AS dropped FROM events")
+def st_late_data(spark, sf):
+    """Events of which half come after the watermark has passed most of them: what a stream keeps, and what its state
+    operators say that they dropped."""
+    base, e = scratch_path(spark, "late"), Tables(spark, sf).events.select("event_id", "ts")
+    dropped = 0
+    for odd in (0, 1):
+        e.where(F.col("event_id") % 2 == odd).write.parquet(f"{base}/in/{odd}")
+        stream = dedup.by_key(files.stream_files(spark, f"{base}/in/*", schema=e.schema), ["event_id"], "ts", "1 hour")
+        query = basics.append_files(stream, f"{base}/out", f"{base}/checkpoint")
+        query.awaitTermination()
+        dropped += late_rows(query)
+    return spark.read.parquet(f"{base}/out").agg(F.count(F.lit(1)).alias("kept"), F.lit(dropped).cast("long").alias("dropped"))
+
+
 # ---- end to end --------------------------------------------------------------------------------
 
 
