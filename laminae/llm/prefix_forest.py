@@ -7,7 +7,8 @@ time, until the vectors met so far reach the wanted number. Those are scored exa
 
 The rows are dealt at random into shards of bounded size, each with its own forest, and every query is
 answered by every shard; the shards' best are merged. Each shard holds a bounded number of rows, so its
-sorted arrays fit a task's memory whatever the table's size. Queries meet the shards in blocks.
+sorted arrays fit a task's memory whatever the table's size. A shard is sent to one task and its forest built
+once there; the queries come to it in blocks. Only vectors that a query met are scored for it.
 
 Vectors that are null, all zero, or hold null or non-finite components take no part, neither do rows
 with a null id or, for a query, candidates under its own id. Vectors of another length than the most
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TREES, DEPTH, SHARE, SHARD, BLOCK = 64, 24, 0.65, 16_384, 1024
+TREES, DEPTH, SHARE, SHARD, BLOCK = 128, 24, 0.4, 16_384, 1024
 
 
 def directions(trees: int, depth: int, width: int, seed: int = 7) -> np.ndarray:
@@ -46,7 +47,7 @@ class Forest:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, trees: int = TREES, depth: int = DEPTH):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.x, self.trees, self.depth = ids[order], x[order], trees, depth
+        self.ids, self.x, self.trees, self.depth, self.scored = ids[order], x[order], trees, depth, 0
         self.planes = directions(trees, depth, x.shape[1])
         keys = strings(self.x.astype(np.float32), self.planes, trees)
         self.order = np.argsort(keys, axis=1, kind="stable").astype(np.int32)
@@ -75,13 +76,14 @@ class Forest:
             open_ = open_[met[open_].sum(axis=1) < wanted]
             if not len(open_):
                 break
-        scores = q @ self.x.T
-        scores[~met | (query_ids[:, None] == self.ids[None, :])] = -np.inf
-        for i, row in enumerate(scores):
-            found = np.flatnonzero(row > -np.inf)
+        met &= query_ids[:, None] != self.ids[None, :]
+        for i, own in enumerate(met):
+            found = np.flatnonzero(own)
+            self.scored += len(found)
+            near = self.x[found] @ q[i]
             if len(found) > k:
-                worst = np.partition(row[found], len(found) - k)[len(found) - k]
-                found = found[row[found] >= worst - 1e-9 * (1 + abs(worst))]
+                worst = np.partition(near, len(found) - k)[len(found) - k]
+                found = found[near >= worst - 1e-9 * (1 + abs(worst))]
             exact = (self.x[found] * q[i]).sum(axis=1)  # row by row in one order, so equal vectors tie
             for j in np.lexsort((self.ids[found], -exact))[:k]:
                 yield int(query_ids[i]), int(self.ids[found[j]]), float(exact[j])
@@ -101,20 +103,24 @@ def search(queries: DataFrame, rows: DataFrame, k: int, id_col: str = "vec_id",
     stored = rows.select(F.pmod(F.xxhash64("id", "vec"), F.lit(shards)).cast("int").alias("shard"), "id", "vec")
     asked = queries.select(F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).cast("int").alias("block"), "id", "vec")
     packed = F.struct("id", "vec")
-    # one row for each block of queries and each shard, both of bounded size; every block meets every shard
-    left = asked.groupBy("block").agg(F.collect_list(packed).alias("q")).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "block", "q")
-    right = stored.groupBy("shard").agg(F.collect_list(packed).alias("r"))
-    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = left.join(right, "shard").repartition(max(spread, min(shards * blocks, 4096)), "shard", "block")
+    # one row for each shard, and one for each block of queries and shard, all of bounded size
+    blocks_ = asked.groupBy("block").agg(F.collect_list(packed).alias("rows"))
+    left = blocks_.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), (F.col("block") + 1).alias("block"), "rows")
+    right = stored.groupBy("shard").agg(F.collect_list(packed).alias("rows")).select("shard", F.lit(0).alias("block"), "rows")
+    spread = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, 4096))
+    met = right.unionAll(left).repartition(spread, "shard").sortWithinPartitions("shard", "block")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, forest = None, None
         for frame in frames:
-            for q, r in zip(frame["q"], frame["r"]):
-                forest = Forest(*unpack(r), trees, depth)
-                found = list(forest.search(*unpack(q), k, share))
-                yield pd.DataFrame(found, columns=["query_id", "id", "score"])
-
-    best = pairs.select("q", "r").mapInPandas(run, "query_id long, id long, score double")
+            for number, kind, held in zip(frame["shard"], frame["block"], frame["rows"]):
+                if kind == 0:
+                    at, forest = number, Forest(*unpack(held), trees, depth)
+                elif number == at:
+                    found = list(forest.search(*unpack(held), k, share))
+                    yield pd.DataFrame(found, columns=["query_id", "id", "score"])
+
+    best = met.mapInPandas(run, "query_id long, id long, score double")
     # the shards' best of one query are at most k for each shard; the smallest of them are cut in the map tasks
     ranked = best.selectExpr("query_id", "id", "score", "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank")
     return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")

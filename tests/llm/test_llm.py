@@ -546,6 +546,21 @@ def test_prefix_forest(spark):
     assert prefix_forest.search(asked, table.filter("vec_id < 5"), 20).filter("query_id = 0").count() == 4
 
 
+def test_prefix_forest_scores_fewer_than_half_of_the_pairs():
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((4000, 64))
+    forest = prefix_forest.Forest(np.arange(4000), x)
+    asked = np.arange(0, 4000, 40)
+    found = defaultdict(set)
+    for q, i, _ in forest.search(asked, x[asked], 20, prefix_forest.SHARE):
+        found[q].add(i)
+    assert forest.scored < 0.5 * 4000 * len(asked)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    hits = sum(len(found[q] & set(np.argsort(-s)[:20].tolist())) for q, s in zip(asked, scores))
+    assert hits >= 0.9 * 20 * len(asked), hits / 20 / len(asked)
+
+
 def test_pipeline_stages(spark, docs, odd):
     import corpus_pipeline
 
