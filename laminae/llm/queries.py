@@ -222,8 +222,8 @@ FROM records
 
 _OP13 = f"""
 WITH stored AS (
-  SELECT vec_id, list_transform(embedding, x -> floor({dense_topk.SCALE} * x::DOUBLE)) AS weights FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor({dense_topk.SCALE} * x::DOUBLE)) AS weights FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.weights, r.weights)::BIGINT AS score
   FROM stored q JOIN stored r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0

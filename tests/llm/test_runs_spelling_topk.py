@@ -225,3 +225,12 @@ def test_topk_refuses_what_does_not_fit(spark):
 def test_op13_equals_brute_force(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).collect()]
     assert sorted(map(tuple, queries.op13_dense_topk(spark, SF).collect())) == sorted(brute_topk(rows, 5, 50))
+
+
+def test_op13_against_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF}/embeddings.parquet')")
+    want = con.execute(queries.ORACLES["op13_dense_topk"]).fetchall()
+    assert sorted(want) == sorted(map(tuple, queries.op13_dense_topk(spark, SF).collect()))
