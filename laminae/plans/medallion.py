@@ -114,8 +114,9 @@ def bronze(run: Run, c: TableContract) -> None:
 def _delivered(run: Run, c: TableContract, prev: DataFrame | None, mark: str | None) -> DataFrame:
     """What the source has above the watermark, checked for drift and by the rules, with audit columns."""
     source = run.read(c, mark)
-    known = prev.drop(scd.START, scd.END, "_deleted") if prev is not None else None
-    change = schema_drift.check(source, known, c.drift["mode"], c.drift["allowed_changes"])
+    # the state has columns of its own, and a change log's operation is not kept in it
+    known = prev.drop(scd.START, scd.END, "_deleted", *AUDIT_COLUMNS) if prev is not None else None
+    change = schema_drift.check(source.drop(c.operation_column) if c.strategy == "cdc" else source, known, c.drift["mode"], c.drift["allowed_changes"])
     if change:
         row = schema_drift.drift_record(run.spark, c.target_name, source.schema, change, str(run.at))
         row.coalesce(1).write.mode("append").parquet(run.path("control", "schema_drift"))
