@@ -216,6 +216,19 @@ def test_schema_change_is_absorbed_or_refused(spark, run_dir):
         strict(spark.createDataFrame([(1, 5)], "k int, v int"), 2)
 
 
+@pytest.mark.parametrize("load", [{}, {"strategy": "cdc", "sequence_by_column": "n"}])
+def test_own_columns_are_no_drift(spark, run_dir, load):
+    """Audit columns of the state and the operation of a change log: a strict contract goes on."""
+    doc = raw(**load) | {"schema_drift": {"mode": "strict", "allowed_changes": []}}
+    go = one_table(spark, run_dir, doc)
+    for n in (1, 2):
+        got, _ = go(spark.createDataFrame([(1, n, "c")], "k int, n int, op string"), n, "bronze")
+    assert [r.n for r in got.collect()] == [2]
+    assert versions.committed(spark, f"{run_dir}/control", "schema_drift") == []
+    seen = spark.read.parquet(f"{run_dir}/control/source_metadata")
+    assert seen.count() == 1 and seen.head().table_name == "t"
+
+
 def test_failing_rule_stops_the_run_and_keeps_the_old_version(spark, run_dir):
     doc = raw() | {"quality": {"expectations": [{"name": "ok", "constraint": "k > 0", "action": "fail"}]}}
     go = one_table(spark, run_dir, doc)
