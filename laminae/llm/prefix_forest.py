@@ -70,10 +70,13 @@ class Forest:
         open_ = np.arange(len(q))
         for level in range(self.depth, -1, -1):  # from the longest prefixes upwards, in all trees at once
             lo, hi = self.ranges(keys[:, open_], level)
-            for j, i in enumerate(open_):
-                for t in np.flatnonzero(hi[:, j] > lo[:, j]):
-                    met[i, self.order[t, lo[t, j] : hi[t, j]]] = True
-            open_ = open_[met[open_].sum(axis=1) < wanted]
+            # ranges hold those of longer prefixes, so nothing need be marked while all trees' ranges are too few
+            ready = np.flatnonzero((hi - lo).sum(axis=0) >= wanted)
+            for j in ready:
+                i, parts = open_[j], [a[x:y] for a, x, y in zip(self.order, lo[:, j].tolist(), hi[:, j].tolist()) if y > x]
+                met[i, np.concatenate(parts)] = True
+            done = ready[met[open_[ready]].sum(axis=1) >= wanted]
+            open_ = np.delete(open_, done)
             if not len(open_):
                 break
         met &= query_ids[:, None] != self.ids[None, :]
