@@ -24,6 +24,7 @@ from laminae.session import cut_lineage
 
 CELL_ROWS = 1_000_000  # a segment with more rows is divided
 PARTS, ROUNDS = 64, 2  # into so many parts, so often for each column of the order
+FEW = 100_000  # so many rows at most are sent to every task
 
 
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
@@ -95,6 +96,13 @@ def _divided(df: DataFrame, order: list[str], limit: int) -> DataFrame:
     return df
 
 
+def few(df: DataFrame, label: str) -> DataFrame:
+    """The frame, written first so that its size is known: FEW rows go to every task when they are joined, whatever
+    the session's own limit, so that the large side stays where it is and no task gets all rows of a key."""
+    kept = cut_lineage(df, label)
+    return F.broadcast(kept) if kept.count() <= FEW else kept
+
+
 def _across(keys: list[str]):
     """Window over the cells of one key in order."""
     return W.partitionBy(*[F.col(f"_cell.k{i}") for i in range(len(keys))]).orderBy("_cell.seg")
@@ -223,6 +231,8 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     2. one pass counts the rows below and inside each bracket, which proves whether it holds the
        rank (a bracket that does not is replaced by the whole range);
     3. only rows inside a bracket are counted by distinct value and ranked.
+
+    The rows of the table are only met by what there is one row a group of, so few groups of many rows move no rows.
     """
     if not keys:
         whole = df.select(F.lit(1).alias("_all"), value)
@@ -247,20 +257,18 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         )
         for i, (n, p) in enumerate(probs.items())
     ]
-    brackets = sketch.select(*keys, "_n", "_min", "_max", *[e.alias(f"_b{i}") for i, e in enumerate(entries)])
+    brackets = few(sketch.select(*keys, "_n", "_min", "_max", *[e.alias(f"_b{i}") for i, e in enumerate(entries)]), "brackets")
 
     joined = src.alias("s").join(brackets.alias("b"), same_keys("s", "b", keys))
+    # sums only: what is a struct would be aggregated by sorting all rows
     counted = joined.groupBy(*[F.col(f"b.{c}").alias(c) for c in keys]).agg(
-        F.first("_n").alias("_n"),
-        F.first("_min").alias("_min"),
-        F.first("_max").alias("_max"),
-        *[F.first(f"_b{i}").alias(f"_b{i}") for i in range(k)],
         *[F.sum(F.when(F.col("_v") < F.col(f"_b{i}.lo"), 1).otherwise(0)).alias(f"_below{i}") for i in range(k)],
         *[
             F.sum(F.when(F.col("_v").between(F.col(f"_b{i}.lo"), F.col(f"_b{i}.hi")), 1).otherwise(0)).alias(f"_in{i}")
             for i in range(k)
         ],
     )
+    proofs = counted.alias("c").join(brackets.alias("b"), same_keys("c", "b", keys)).select("c.*", *[F.col(f"b.{c}") for c in brackets.columns if c not in keys])
 
     def proven(i: int) -> Column:
         rank = (F.col("_n") - 1) * F.col(f"_b{i}.p")
@@ -275,7 +283,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
             F.when(holds, F.col(f"_below{i}")).otherwise(F.lit(0)).cast("long").alias("below"),
         )
 
-    plan = counted.select(*keys, F.array(*[proven(i) for i in range(k)]).alias("_plan"))
+    plan = few(proofs.select(*keys, F.array(*[proven(i) for i in range(k)]).alias("_plan")), "plan")
     near = (
         src.alias("s")
         .join(plan.alias("p"), same_keys("s", "p", keys))

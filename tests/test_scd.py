@@ -269,6 +269,20 @@ def test_divided_cells_equal_plain_windows(spark, hot_day):
     assert same(versions_of(100), versions_of(None))
 
 
+def test_exact_percentiles_move_no_rows_for_few_groups(spark, run_dir):
+    """Three groups hold all rows: a join that deals rows by group would sort a third of the table in one task."""
+    df = spark.range(20_000).select(F.concat(F.lit("g"), F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 20011).cast("double").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = exact_percentiles(df, ["g"], "v", {"p50": 0.5})
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        got = {r.g: r.p50 for r in made.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert got == {r.g: r.p for r in df.groupBy("g").agg(F.expr("percentile(v, 0.5)").alias("p")).collect()}
+
+
 def test_exact_percentiles_with_outliers_ties_and_small_groups(spark):
     rows = [("big", float(i % 10)) for i in range(5000)] + [("big", 1e12)] + [("one", 4.0)] + [("two", 1.0), ("two", 2.0)] + [("none", None)]
     df = spark.createDataFrame(rows, "g string, v double")
