@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from laminae.operators.ordered import carry_last, same_keys
+from laminae.operators.ordered import FEW, carry_last, same_keys
 from laminae.operators.scd import END, START
+from laminae.session import cut_lineage
 
 # Fixed value: end of an open version in the standard view.
 OPEN_END = "9999-12-31"
+MOST = 256  # versions of a key that a fact is compared with one by one
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -71,9 +76,13 @@ def join_as_of(
     columns: list[str],
     how: str = "inner",
     limit: int | None = None,
+    short: bool = False,
 ) -> DataFrame:
     """Each fact with the version valid at its own time. Versions of a key must not overlap, as in any history.
 
+    A `short` history (a row a class and month, say) is written first; if it holds FEW rows, and MOST of a key, it is
+    sent to every task and no fact moves. Any other history is joined by a sweep.
+
     A sweep: facts and versions are read as one list in order of key and time, and each fact takes the last
     version that started before it, if that has not ended. Every row is shuffled once and no version is listed
     more than once. A key with more than `limit` rows is divided along time, and the version in force is carried
@@ -82,6 +91,15 @@ def join_as_of(
     if how not in ("inner", "left"):
         raise ValueError(f"unknown kind of join {how!r}")
     moment = lambda c: F.col(c).cast("timestamp_ntz")
+    if short:
+        history = cut_lineage(history.select(*keys, START, END, *[c for c in columns if c not in keys]), "versions")
+        size = history.groupBy(*keys).count().agg(F.sum("count").alias("all"), F.max("count").alias("most")).head()
+        if (size["all"] or 0) <= FEW and (size.most or 0) <= MOST:
+            known = history.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], moment(START).alias("_from"), moment(END).alias("_until"), F.struct(*columns).alias("_row"))
+            own = facts.select(*[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], moment(at).alias("_at"), F.struct(*facts.columns).alias("_fact"))
+            same = [F.col(f"_f{i}").eqNullSafe(F.col(f"_k{i}")) for i in range(len(keys))]
+            joined = own.join(F.broadcast(known), reduce(and_, [*same, covers(F.col("_at"), F.col("_from"), F.col("_until"))]), how)
+            return joined.select("_fact.*", *[F.col(f"_row.{c}").alias(c) for c in columns])
     key = lambda df: [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]
     version = F.struct(moment(END).alias("until"), F.struct(*columns).alias("row")).alias("_version")

@@ -495,9 +495,9 @@ def price_history(spark, sf):
  AND l.l_shipdate >= p.price_start AND (l.l_shipdate < p.price_end OR p.price_end IS NULL)""",
 )
 def join_temporal(spark, sf):
-    """Six keys only, so each holds a large part of the facts: the month buckets divide them."""
+    """Six keys only, so each holds a large part of the facts: the prices, a row a class and month, go to them."""
     facts = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_returnflag", "l_linestatus")
-    got = history.join_as_of(facts, price_history(spark, sf), ["l_returnflag", "l_linestatus"], "l_shipdate", ["price"])
+    got = history.join_as_of(facts, price_history(spark, sf), ["l_returnflag", "l_linestatus"], "l_shipdate", ["price"], short=True)
     return got.drop("l_returnflag", "l_linestatus")
 
 

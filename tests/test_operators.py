@@ -203,6 +203,24 @@ def test_sweep_equals_the_range_join(spark, limit):
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 1000
 
 
+def test_short_history_goes_to_the_facts(spark, monkeypatch):
+    """Few keys hold all facts: none moves. A history that is not short is joined by the sweep, with the same rows."""
+    at = lambda c: F.expr(f"timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, int({c}), 0)")
+    k = F.when(F.col("id") % 3 != 0, F.col("id") % 4)
+    facts = spark.range(3000).select("id", k.alias("k"), F.when(F.col("id") % 40 != 0, at("id * id % 997")).alias("at"))
+    hist = spark.range(160).select(F.when(F.col("id") % 4 < 3, F.col("id") % 4).alias("k"), F.col("id").alias("n"), at("floor(id / 4) * 25").alias("__START_AT"))
+    hist = hist.withColumn("__END_AT", F.expr("__START_AT + make_dt_interval(0, 0, if(n % 7 = 0, 9, 25), 0)"))
+    on = F.expr("f.k <=> h.k AND f.at >= h.__START_AT AND (f.at < h.__END_AT OR h.__END_AT IS NULL)")
+    for how in ("inner", "left"):
+        want = facts.alias("f").join(hist.alias("h"), on, how).select("f.*", "h.n")
+        for most in (256, 5):
+            monkeypatch.setattr(history, "MOST", most)
+            got = history.join_as_of(facts, hist, ["k"], "at", ["n"], how=how, short=True)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert ("Exchange hashpartitioning" not in plan) == (most == 256)
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 1000
+
+
 def test_sweep_shuffles_each_row_once(spark):
     facts = spark.range(100).select(F.col("id").alias("k"), F.expr("timestamp_ntz'2024-01-01'").alias("at"))
     hist = facts.select("k", F.col("at").alias("__START_AT"), F.lit(None).cast("timestamp_ntz").alias("__END_AT"), F.lit(1).alias("v"))
