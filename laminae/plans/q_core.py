@@ -43,6 +43,10 @@ def adhoc_sql(spark, sf):
     return tables.run_sql(spark, text, {"orders": Tables(spark, sf).orders})
 
 
+# Fixed value: rows of a file that is written to be read back. A file whose format cannot be divided is one task's.
+FILE_ROWS = 100_000
+
+
 @query(
     "read_formats",
     "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, fmt FROM part, (VALUES ('csv'), ('json'), ('orc'), ('parquet'), ('xml')) f(fmt)",
@@ -57,7 +61,7 @@ def read_formats(spark, sf):
     out = None
     for fmt in ("csv", "json", "orc", "parquet", "xml"):
         options = extra.get(fmt, {})
-        part.write.format(fmt).options(**options).save(f"{base}/{fmt}")
+        part.write.format(fmt).options(maxRecordsPerFile=FILE_ROWS, **options).save(f"{base}/{fmt}")
         back = files.scan_files(spark, f"{base}/{fmt}", fmt, schema=part.schema, **options).withColumn("fmt", F.lit(fmt))
         out = back if out is None else out.unionByName(back)
     return out

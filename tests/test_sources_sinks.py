@@ -198,3 +198,14 @@ def test_reverse_etl_stream(spark, derby, run_dir):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_formats_are_written_in_files_of_bounded_size(spark, monkeypatch):
+    """A file of a format that is read whole (XML) is one task's, so its size must not grow with the table."""
+    from laminae.plans import q_core
+
+    monkeypatch.setattr(q_core, "FILE_ROWS", 50)
+    back = q_core.read_formats(spark, SF)
+    rows = back.groupBy("fmt", F.input_file_name().alias("file")).count().groupBy("fmt").agg(F.max("count").alias("most"), F.sum("count").alias("n")).collect()
+    whole = spark.read.parquet(f"{SF}/part.parquet").count()
+    assert len(rows) == 5 and all(r.most <= 50 and r.n == whole for r in rows)
