@@ -1,6 +1,6 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney trigram model.
 
-The model learns the word trigrams of trusted text, a bounded sample of the labelled rows. Its count
+The model learns the word trigrams of trusted text, all labelled rows outside the fold that sets the thresholds. Its count
 tables are sharded by context, where each context's total and discounts are found in place; with the
 values of their shorter forms and contexts they meet in joins by hashed n-gram.
 
@@ -38,7 +38,7 @@ from laminae.llm import bits
 from laminae.llm.columns import held_out, texts
 from laminae.session import cut_lineage
 
-SAMPLE, SHARED, QUANTILE, PRIOR, MARGIN, FOLDS = 4000, 1_500_000, 0.998, 40.0, 0.5, 5
+SHARED, QUANTILE, PRIOR, MARGIN, FOLDS = 1_500_000, 0.998, 40.0, 0.5, 5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _START, _END = 1, 2  # hashes of the marks at the start and the end
 _START_PAIR = int(np.array([(32 * int(_MIX)) % 2**64], np.uint64).view(np.int64)[0])  # of two starts
@@ -257,16 +257,13 @@ def lookup(grams: np.ndarray, keys: np.ndarray, value: np.ndarray) -> tuple[np.n
     return value[at[hit]].astype(np.float64), ~hit
 
 
-def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", sample: int = SAMPLE, shared: int = SHARED, quantile: float = QUANTILE, prior: float = PRIOR, margin: float = MARGIN) -> DataFrame:
+def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", shared: int = SHARED, quantile: float = QUANTILE, prior: float = PRIOR, margin: float = MARGIN) -> DataFrame:
     """doc_id, row, lang, copies, n_tokens, perplexity, drawn_perplexity, threshold, keep of each distinct row.
 
-    Trusted are the rows whose label is 1. Of those outside the fold that sets the thresholds, at most
-    sample rows, by the hash of their id, are learned from."""
+    Trusted are the rows whose label is 1. All of those outside the fold that sets the thresholds are learned from."""
     good = labels.filter(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
     rows = texts(df, id_col, text_col)
-    learned = good.filter(~held_out("doc_id", FOLDS)).join(df.select(F.col(id_col).cast("long").alias("doc_id")), "doc_id", "left_semi")
-    learned = learned.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    model = train(rows.join(F.broadcast(learned), "doc_id", "left_semi"))
+    model = train(rows.join(good.filter(~held_out("doc_id", FOLDS)), "doc_id", "left_semi"))
     scored = cut_lineage(perplexities(df, model, id_col, text_col, lang_col, shared), "perplexities")
     checked = scored.join(good.filter(held_out("doc_id", FOLDS)), "doc_id", "left_semi")
     # a short text's perplexity says little: it is drawn towards the usual one of its language

@@ -354,6 +354,20 @@ def test_quality_rejects_junk(spark, odd, empty):
     assert quality.classify(empty, labels).count() == 0
 
 
+def test_quality_learns_from_all_trusted_rows(spark, monkeypatch):
+    """The model takes its counts from every trusted row outside the fold of the thresholds, however many there are."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("en").alias("lang"))
+    learned, train = [], quality.train
+
+    def counted(trusted):
+        learned.append(trusted.count())
+        return train(trusted)
+
+    monkeypatch.setattr(quality, "train", counted)
+    quality.classify(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    assert learned == [docs.filter(~quality.held_out("doc_id", quality.FOLDS)).count()] and learned[0] > 4000
+
+
 def test_quality_keeps_languages_without_trusted_rows(spark):
     rng = np.random.default_rng(18)
     own = lambda stem: [f"{stem}{i}" for i in range(60)]
