@@ -11,12 +11,15 @@ vector is null, zero, holds null or non-finite numbers, or has another length th
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from laminae.operators.changes import table_changes
 from laminae.operators.ordered import same_keys
@@ -40,7 +43,7 @@ class VectorIndex:
     @classmethod
     def build(cls, df: DataFrame, path: str, key: str, vector: str, lists: int | None = None, recall: float = RECALL) -> VectorIndex:
         rows = _unit(df, vector)
-        width = rows.groupBy(F.size("_unit").alias("n")).count().orderBy(F.desc("count"), "n").head()
+        width = _usable(df, vector).groupBy(F.size(vector).alias("n")).count().orderBy(F.desc("count"), "n").head()
         if not width:
             raise ValueError("an index needs at least one usable vector")
         sample = cut_lineage(rows.where(F.size("_unit") == width.n).select(key, "_unit").orderBy(F.xxhash64(key), key).limit(SAMPLE), "sample")
@@ -99,6 +102,19 @@ class VectorIndex:
         scored = self.probed(query, n).withColumn("score", cosine(F.col(self.vector), query))
         return scored.orderBy(F.col("score").desc(), F.col(self.key)).limit(k).select(*shown, "score")
 
+    def search_each(self, queries: dict[object, list[float]], k: int = NUM_RESULTS) -> DataFrame:
+        """What search finds for each of a few queries, by one read of the lists that any of them probes: asked (the
+        query's name), key and score."""
+        held = {r.list: r["count"] for r in self.entries().groupBy("list").count().collect()}  # at most MOST_LISTS
+        lists = {}
+        for asked, query in queries.items():
+            n = self.probes
+            while n < len(self.centroids) and sum(held.get(i, 0) for i in self.nearest_lists(query, n)) < k:
+                n *= 2
+            lists[asked] = self.nearest_lists(query, n)
+        probed = self.entries().where(F.col("list").isin(sorted({i for own in lists.values() for i in own})))
+        return best_each(probed, self.key, self.vector, queries, k, lists)
+
     # ---- maintenance -----------------------------------------------------------------------------
 
     def upsert(self, rows: DataFrame) -> list[int]:
@@ -135,6 +151,35 @@ class VectorIndex:
         return lists
 
 
+def best_each(rows: DataFrame, key: str, vector: str, queries: dict[object, list[float]], k: int, lists: dict[object, list[int]] | None = None) -> DataFrame:
+    """The k usable rows most similar to each of a few queries by one scan: asked, key and score, ties to the smaller
+    key. With lists a query only meets the rows of its own. Tasks keep what can be among the best; only that meets."""
+    names, width = list(queries), len(next(iter(queries.values())))
+    q = np.array([queries[n] for n in names], float)
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    own = [np.array(lists[n]) for n in names] if lists else None
+    spark, usable = rows.sparkSession, _usable(rows, vector).where(F.size(vector) == width)
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            x = np.array(frame["vector"].tolist(), float).reshape(-1, width)
+            # summed alike for every row, so that copies have equal scores
+            scores = np.einsum("ij,kj->ik", q, x / np.linalg.norm(x, axis=1, keepdims=True))
+            for i, score in enumerate(scores):
+                at = np.flatnonzero(np.isin(frame["list"], own[i])) if own else np.arange(len(score))
+                if len(at) > k:  # equal scores stay, as the key decides among them
+                    at = at[score[at] >= np.partition(score[at], -k)[-k]]
+                yield pd.DataFrame({"number": i, "key": frame["key"].to_numpy()[at], "score": score[at]})
+
+    kind = rows.schema[key].dataType.simpleString()
+    met = usable.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"), (F.col("list") if lists else F.lit(0)).alias("list"))
+    found = met.mapInPandas(best, f"number int, key {kind}, score double")
+    place = F.row_number().over(W.partitionBy("number").orderBy(F.desc("score"), "key"))
+    best_k = found.withColumn("place", place).where(F.col("place") <= k)
+    named = spark.createDataFrame(list(enumerate(names)), f"number int, asked {kind}")
+    return best_k.join(F.broadcast(named), "number").select("asked", F.col("key").alias(key), "score")
+
+
 def _usable(df: DataFrame, vector: str) -> DataFrame:
     v = F.col(vector).cast("array<double>")
     finite = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
@@ -142,10 +187,11 @@ def _usable(df: DataFrame, vector: str) -> DataFrame:
 
 
 def _unit(df: DataFrame, vector: str) -> DataFrame:
-    """Usable rows with their vector scaled to length one."""
+    """Usable rows with their vector scaled to length one. The length is repeated beside the numbers: inside the
+    function of each number it would be computed for each of them."""
     v: Column = F.col(vector).cast("array<double>")
     size = F.sqrt(dot(v, v))
-    return _usable(df, vector).withColumn("_unit", F.transform(v, lambda x: x / size))
+    return _usable(df, vector).withColumn("_unit", F.zip_with(v, F.array_repeat(size, F.size(v)), lambda x, s: x / s))
 
 
 def _enough(points: np.ndarray, centroids: np.ndarray, recall: float) -> int:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from laminae.operators import metrics, monitor, profile, security, vectors
 from laminae.operators.keyword_index import KeywordIndex
-from laminae.operators.vector_index import VectorIndex
+from laminae.operators.vector_index import VectorIndex, best_each
 from laminae.plans.registry import ORACLES, Tables, at, query
 from laminae.plans.snapshots import DATES, active_customers, active_sql
 from laminae.session import cut_lineage, scratch_path
@@ -292,9 +291,9 @@ def vec_index_recall(spark, sf):
     rows = Tables(spark, sf).embeddings.select("vec_id", "embedding", "label")
     index = VectorIndex.build(rows, scratch_path(spark, "vectors"), "vec_id", "embedding")
     asked = rows.orderBy(F.xxhash64("vec_id")).limit(10).collect()
-    hits = [index.search(r.embedding, 10).withColumn("asked", F.lit(r.vec_id)) for r in asked]
-    near = [vectors.topk(rows, "embedding", r.embedding, "vec_id", 10).withColumn("asked", F.lit(r.vec_id)) for r in asked]
-    found, wanted = (cut_lineage(reduce(lambda a, b: a.unionAll(b), x), "near") for x in (hits, near))
+    queries = {r.vec_id: r.embedding for r in asked}
+    found = cut_lineage(index.search_each(queries, 10), "near")
+    wanted = cut_lineage(best_each(rows, "vec_id", "embedding", queries, 10), "near")
     met = wanted.join(found.select("asked", "vec_id", F.lit(1).alias("hit")), ["asked", "vec_id"], "left")
     each = found.groupBy("asked").count()
     return met.agg((F.sum("hit") >= 0.9 * F.count(F.lit(1))).alias("enough")).select(

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from laminae.operators import keyword_index, vectors
+from laminae.operators import keyword_index, vector_index, vectors
 from laminae.operators.keyword_index import KeywordIndex
 from laminae.operators.sketches import Sketches, SketchTable
 from laminae.operators.vector_index import VectorIndex
@@ -95,6 +95,24 @@ def test_changes_rewrite_only_the_lists_they_touch(spark, run_dir):
     assert [r.id for r in index.search(q, 8, 20).collect()] == exact(list(rows.values()), q, 8)
 
 
+def test_few_queries_are_answered_by_one_scan(spark, run_dir):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=6)], "g") for i in range(400)]
+    rows += [(i + 400, rows[0][1], "g") for i in range(15)] + [(900, None, "g"), (901, [0.0] * 6, "g")]  # copies: ties to the smaller key
+    table = spark.createDataFrame(rows, DDL)
+    index = VectorIndex.build(table, run_dir, "id", "v")
+    queries = {i: rows[i][1] for i in (0, 7, 399)}
+    lists = {i: [r.id for r in index.search(q, 8).collect()] for i, q in queries.items()}
+    brute = vector_index.best_each(table, "id", "v", queries, 8)
+    plan = brute._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+    for made, want in ((index.search_each(queries, 8), lists), (brute, {i: exact([r for r in rows if r[0] < 900], q, 8) for i, q in queries.items()})):
+        got = {}
+        for r in made.orderBy("asked", F.desc("score"), "id").collect():
+            got.setdefault(r.asked, []).append(r.id)
+        assert {i: set(x) for i, x in got.items()} == {i: set(x) for i, x in want.items()} and all(len(x) == 8 for x in got.values())
+
+
 @pytest.fixture(scope="module")
 def library(spark, tmp_path_factory):
     rng = np.random.default_rng(4)
