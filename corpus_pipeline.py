@@ -38,8 +38,8 @@ def _packed(docs: DataFrame) -> Column:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near duplicates (five-word shingles of similarity 0.8 or more, through any
-    number of links): that of the smallest id, then text hash; a null id comes last. Of repeated rows of an id one
+    """Keeps one row of each group of near duplicates (five-word shingles of similarity 0.8 or more, found in
+    tiles of SimHash fingerprints, through any number of links): that of the smallest id, then text hash; a null id comes last. Of repeated rows of an id one
     is kept."""
     key = ["id", "none", "hash"]
     rows = docs.select(_packed(docs), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), shingles.text_hash(F.col("text")).alias("hash"))

@@ -1,14 +1,13 @@
 """Near duplicates by the exact similarity of word shingles.
 
-Candidates come from MinHash: BANDS bands of ROWS minima each of a text's shingles; texts that agree in a
-band are in one bucket of it. Two texts of similarity s meet in some bucket with probability
-1 - (1 - s ** ROWS) ** BANDS, 0.9996 at 0.8. Each member is compared with the first REPS members of its buckets,
-which makes a fixed number of pairs a text and never a bucket's square; a bucket of at most REPS + 1 is compared
-whole. Every pair is verified by the Jaccard similarity of its shingles, and only verified pairs are linked.
-Larger buckets that are not one group after that go on in rounds: members drawn anew in each bucket and round are
-compared with the texts outside the bucket's main group (the commonest among those drawn) that are not in their
-own group yet, until rounds find no more links. So a large group with a few strangers in its buckets costs as many
-pairs as there are strangers, and a group that is whole costs none.
+Candidates come from tiles of SimHash fingerprints (`simhash_tiles.close_pairs`): 512 bits of a text's shingles,
+compared exactly within the tiles whose texts have about as many shingles, at a radius that texts of similarity 0.8
+pass with probability 0.9999. Every pair is verified by the Jaccard similarity of its shingles, and only verified
+pairs are linked.
+Each text is first compared with its NEAREST candidates in a tile. Where there are more, their texts go on in rounds with
+the nearest ones outside their own group, and when a round links less than half of its pairs, with all that are
+left: a group of many copies never costs its square, and no candidate between two groups is left unverified. Only
+texts that are alike by about 0.65 to 0.8 and in different groups cost all their pairs.
 
 Defined cases: texts are compared in ASCII lower case; texts without words are all equal; fewer words than a
 shingle make one shingle.
@@ -20,18 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laminae.llm.chains import WordHash, word_hashes
 from laminae.llm.columns import bound_batches
 from laminae.llm.graph import components
+from laminae.llm.simhash_tiles import close_pairs, wide_fingerprint
 from laminae.session import cut_lineage
 
-SHINGLE, SIMILAR, BANDS, ROWS, REPS = 5, 0.8, 20, 5, 8
-QUIET = 2  # rounds without a new link after which large buckets count as done
+SHINGLE, SIMILAR, NEAREST = 5, 0.8, 3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_FACTORS = np.random.default_rng(42).integers(0, 2**63, (BANDS * ROWS, 2), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(text: bytes, known: WordHash, size: int = SHINGLE) -> np.ndarray:
@@ -45,20 +43,6 @@ def shingles(text: bytes, known: WordHash, size: int = SHINGLE) -> np.ndarray:
     return np.unique(out)
 
 
-def bands(grams: np.ndarray) -> np.ndarray:
-    """One hash for each band."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(grams), 4096):
-        mixed = grams[i : i + 4096] * _FACTORS[:, :1] + _FACTORS[:, 1:]
-        mixed ^= mixed >> np.uint64(32)
-        least = np.minimum(least, (mixed * _MIX).min(axis=1))
-    out = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        out = (out ^ row) * _MIX
-        out ^= out >> np.uint64(29)
-    return out
-
-
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both)
@@ -76,42 +60,28 @@ def groups(df: DataFrame, text_col: str = "text", similar: float = SIMILAR) -> D
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         for batch in batches:
-            keys = [bands(shingles(t.as_py(), known)) for t in batch.column(1)]
-            rows = pa.array(np.repeat(np.arange(len(keys)), BANDS))
-            key = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(key)], ["hash", "key"])
-
-    signs = cut_lineage(distinct.mapInArrow(signed, "hash long, key long").distinct(), "bands")
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
-    first = signs.withColumn("at", rank).filter(F.col("at") <= REPS).select("key", F.col("hash").alias("a"))
-    pairs = signs.select("key", F.col("hash").alias("b")).join(first, "key").filter("a < b").select("a", "b").distinct()
-    links = cut_lineage(_verified(distinct, pairs, similar), "links")
-    found = cut_lineage(components(links), "groups")
-    quiet, turn = 0, 0
-    while quiet < QUIET:
-        turn += 1
-        marked = signs.join(found.withColumnRenamed("node", "hash"), "hash", "left").select("key", "hash", F.coalesce("root", "hash").alias("root"))
-        draw = lambda i: F.min_by(F.struct("hash", "root"), F.xxhash64("key", "hash", F.lit(turn * REPS + i)))  # noqa: B023, E731
-        buckets = marked.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.array(*[draw(i) for i in range(REPS)]).alias("drawn"))
-        roots = F.transform("drawn", lambda d: d["root"])
-        often = F.transform(roots, lambda r: F.struct(F.size(F.filter(roots, lambda x: x == r)).alias("n"), r.alias("root")))
-        apart = buckets.filter((F.col("n") > REPS + 1) & (F.col("low") < F.col("high"))).select("key", "drawn", F.array_max(often)["root"].alias("main"))
-        outside = marked.alias("m").join(apart.alias("b"), (F.col("m.key") == F.col("b.key")) & (F.col("m.root") != F.col("b.main")))
-        met = outside.select(F.col("m.hash").alias("b"), F.col("m.root").alias("root"), F.explode("drawn").alias("d")).filter("d.root <> root")
-        pairs = met.select(F.least("b", "d.hash").alias("a"), F.greatest("b", "d.hash").alias("b")).distinct()
+            sets = [shingles(t.as_py(), known) for t in batch.column(1)]
+            prints = pa.array([wide_fingerprint(s).tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), prints], ["hash", "size", "print"])
+
+    prints = cut_lineage(distinct.mapInArrow(signed, "hash long, size long, print binary").dropDuplicates(["hash"]), "prints")
+    rows, links, most = prints.withColumn("root", F.col("hash")), None, NEAREST
+    while True:
+        met = cut_lineage(close_pairs(rows, similar, most), "met")
+        pairs = cut_lineage(met.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         more = cut_lineage(_verified(distinct, pairs, similar), "links")
-        if more.isEmpty():
-            quiet += 1
-            continue
-        quiet = 0
-        links = cut_lineage(links.unionAll(more).distinct(), "links")
+        links = more if links is None else links.unionAll(more)
         found = cut_lineage(components(links), "groups")
-    return found.withColumnRenamed("node", "hash")
+        left = met.filter("b IS NULL").select(F.col("a").alias("hash")).distinct()
+        if left.isEmpty():
+            return found.withColumnRenamed("node", "hash")
+        if 2 * more.count() < pairs.count():
+            most = None
+        rows = prints.join(left, "hash", "left_semi").join(found.withColumnRenamed("node", "hash"), "hash", "left").withColumn("root", F.coalesce("root", "hash"))
 
 
 def _verified(distinct: DataFrame, pairs: DataFrame, similar: float) -> DataFrame:
     """The pairs (a, b: text hashes) whose texts are similar by their shingles."""
-    pairs = cut_lineage(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("hash")).unionAll(pairs.select(F.col("b").alias("hash"))).distinct()
     held = cut_lineage(distinct.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.first("text").alias("text")), "texts")
     both = pairs.join(held.select(F.col("hash").alias("b"), F.col("text").alias("text_b")), "b").join(held.select(F.col("hash").alias("a"), F.col("text").alias("text_a")), "a")

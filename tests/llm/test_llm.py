@@ -654,6 +654,40 @@ def test_pipeline_links_members_of_large_buckets(spark):
     assert not [i for i in range(600) for j in range(i) if of[i] == of[j] and find(i) != find(j)]
 
 
+def test_pipeline_links_by_tiles_of_fingerprints(spark):
+    """All similar pairs are candidates of the SimHash tiles, of small sets too, and groups are those of brute force."""
+    from laminae.llm import shingles
+
+    rng = np.random.default_rng(29)
+    made, known = [], shingles.WordHash()
+    for n in [6, 7, 8, 9, 10, 13, 20, 40, 90, 200] * 12:
+        words = [f"w{j}" for j in rng.integers(0, 10**6, n)]
+        made += [" ".join(words[: max(n - k, 5)] + [f"v{rng.integers(0, 9)}"] * (k > 2)) for k in range(6)]
+    made = sorted(set(made))
+    sets = [shingles.shingles(t.encode(), known) for t in made]
+    rows = [(i, i, len(s), bytearray(simhash_tiles.wide_fingerprint(s).tobytes())) for i, s in enumerate(sets)]
+    prints = spark.createDataFrame(rows, "hash long, root long, size long, print binary").repartition(3)
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in simhash_tiles.close_pairs(prints, 0.8, None, tile=100).collect()}
+    close = {(i, j) for j in range(len(sets)) for i in range(j) if shingles.similarity(sets[i], sets[j]) >= 0.8}
+    assert len(close) > 300 and len(close - got) <= 0.001 * len(close) and len(got) < 5 * len(close)
+    few = simhash_tiles.close_pairs(prints, 0.8, 1, tile=100).collect()
+    marked = {r.a for r in few if r.b is None}
+    assert all((min(r.a, r.b), max(r.a, r.b)) in got for r in few if r.b is not None)
+    listed = {(min(r.a, r.b), max(r.a, r.b)) for r in few if r.b is not None}
+    assert marked and all(i in marked and j in marked for i, j in got - listed)
+    root = list(range(len(made)))
+    for _ in range(len(made)):
+        before = list(root)
+        for i, j in close:
+            root[i] = root[j] = min(root[i], root[j])
+        if root == before:
+            break
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    roots = {r.hash: r.root for r in shingles.groups(docs).collect()}
+    of = {r.doc_id: roots.get(r.h, r.h) for r in docs.select("doc_id", shingles.text_hash(F.col("text")).alias("h")).collect()}
+    assert len({(of[i], root[i]) for i in of}) == len(set(of.values())) == len(set(root))
+
+
 def test_pipeline_stages_keep_columns_with_clashing_names(spark, docs):
     import corpus_pipeline
 
