@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from laminae.llm import bits
 from laminae.llm.columns import held_out, texts
-from laminae.session import cut_lineage
+from laminae.session import cut_lineage, drop_scratch
 
 SHARED, QUANTILE, PRIOR, MARGIN, FOLDS = 1_500_000, 0.998, 40.0, 0.5, 5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -154,37 +154,32 @@ def train(trusted: DataFrame) -> tuple[DataFrame, float, float]:
         return two.select(F.col("word").alias("gram"), F.lit(0.0).cast("float").alias("value"), F.col("n"), F.lit(1).alias("size")).limit(0), 0.0, 0.0
     unknown = total["freed"] / total["all"] / (total["kinds"] + 1)
     p1 = one.select("word", (_discounted("n", d1) / total["all"] + unknown).alias("p1"), F.col("seen").alias("seen1"))
-    p2 = two.join(p1, "word").select(
-        "middle", "word", "seen", "p1", _pass_on(d2).alias("pass_on"), (_discounted("n", d2) / F.col("all") + _pass_on(d2) * F.col("p1")).alias("p2")
-    )
-    p2 = cut_lineage(_hashed(p2, ["middle", "word"], right=("middle", 31)), "pair-values")
-    own = three.select("left", "middle", "word", "n", _pass_on(d3).alias("pass_on"), (_discounted("n", d3) / F.col("all")).alias("share"))
-    p3 = _hashed(own, ["left", "middle", "word"], triple=("left", 37), right=("middle", 31)).join(p2.select("right", "p2"), "right")
-    log2 = F.log2
+    log2, on, real = F.log2, F.coalesce("on", F.lit(0.0)), lambda c: c.cast("float")
     on2 = two.filter("head").select(F.col("middle").alias("context"), log2(_pass_on(d2)).alias("on"))
     on3 = three.filter("head").select(F.col("left").alias("context"), log2(_pass_on(d3)).alias("on"))
-    on = F.coalesce("on", F.lit(0.0))
-    values = (
-        p1.join(on2, F.col("word") == F.col("context"), "left")
-        .select(F.col("word").alias("gram"), (log2("p1") - log2(F.lit(unknown)) + on).alias("value"), F.col("seen1").alias("n"), F.lit(1).alias("size"))
-        .unionAll(
-            p2.join(on3, F.col("right") == F.col("context"), "left").select(
-                F.col("right").alias("gram"), (log2("p2") - log2("pass_on") - log2("p1") + on).alias("value"), F.col("seen").alias("n"), F.lit(2)
-            )
-        )
-        .unionAll(
-            p3.select(
-                F.col("triple").alias("gram"),
-                (log2(F.col("share") + F.col("pass_on") * F.col("p2")) - log2("pass_on") - log2("p2")).alias("value"),
-                F.col("n"),
-                F.lit(3),
-            )
-        )
-    )
-    values = cut_lineage(values.withColumn("value", F.col("value").cast("float")), "values")
     # what a text's start passes on: as a context by itself, and doubled as a pair
-    starts = on2.filter(F.col("context") == _START).unionAll(on3.filter(F.col("context") == _START_PAIR))
-    return values, float(np.log2(unknown)), starts.agg(F.sum("on")).first()[0]
+    starts = on2.filter(F.col("context") == _START).unionAll(on3.filter(F.col("context") == _START_PAIR)).agg(F.sum("on")).first()[0]
+    words = p1.join(on2, F.col("word") == F.col("context"), "left").select(
+        F.col("word").alias("gram"), real(log2("p1") - log2(F.lit(unknown)) + on).alias("value"), F.col("seen1").alias("n"), F.lit(1).alias("size")
+    )
+    words = cut_lineage(words, "word-values")
+    # each table is deleted when the last one that needs it is written: of the counts, little more than the triples is held at once
+    p2 = two.join(p1, "word").select(
+        "middle", "word", "seen", "p1", _pass_on(d2).alias("pass_on"), (_discounted("n", d2) / F.col("all") + _pass_on(d2) * F.col("p1")).alias("p2")
+    )
+    p2 = p2.select("middle", "word", "seen", real(F.col("p2")).alias("p2"), real(log2("p2") - log2("pass_on") - log2("p1")).alias("value"))
+    p2 = cut_lineage(_hashed(p2, ["middle", "word"], right=("middle", 31)), "pair-shares")
+    drop_scratch(two, one)
+    pairs = p2.join(on3, F.col("right") == F.col("context"), "left").select("right", "seen", "p2", real(F.col("value") + on).alias("value"))
+    pairs = cut_lineage(pairs, "pair-values")
+    drop_scratch(p2)
+    own = three.select("left", "middle", "word", "n", real(_pass_on(d3)).alias("pass_on"), real(_discounted("n", d3) / F.col("all")).alias("share"))
+    p3 = _hashed(own, ["left", "middle", "word"], triple=("left", 37), right=("middle", 31)).join(pairs.select("right", "p2"), "right")
+    whole = F.col("pass_on") * F.col("p2").cast("double")
+    triples = cut_lineage(p3.select(F.col("triple").alias("gram"), real(log2(F.col("share") + whole) - log2(whole)).alias("value"), "n"), "triple-values")
+    drop_scratch(three)
+    values = words.unionAll(pairs.select(F.col("right").alias("gram"), "value", F.col("seen").alias("n"), F.lit(2)))
+    return values.unionAll(triples.select("gram", "value", "n", F.lit(3))), float(np.log2(unknown)), starts
 
 
 def perplexities(df: DataFrame, model: tuple[DataFrame, float, float], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", shared: int = SHARED) -> DataFrame:
@@ -237,10 +232,10 @@ def perplexities(df: DataFrame, model: tuple[DataFrame, float, float], id_col: s
     keyed = texts(df, id_col, text_col, row=F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(lang_col).cast("string")), lang=F.coalesce(F.col(lang_col).cast("string"), F.lit("")))
     parts = keyed.mapInArrow(run, "doc_id long, row long, lang string, gram long, part double, n long")
     whole = F.col("gram").isNull()  # the row of the text itself; its own hash spreads these rows over the join
-    parts = parts.select("doc_id", "row", "lang", "part", "n", whole.alias("whole"), F.coalesce("gram", "row").alias("gram"))
+    parts = parts.select("doc_id", "row", F.when(whole, F.col("lang")).alias("lang"), "part", "n", whole.alias("whole"), F.coalesce("gram", "row").alias("gram"))
     joined = parts.join(rare, "gram", "left")
     summed = joined.groupBy("doc_id", "row").agg(
-        F.first("lang").alias("lang"),
+        F.first("lang", ignorenulls=True).alias("lang"),
         F.count_if("whole").alias("copies"),
         F.sum("n").alias("n"),
         F.sum(F.col("part") + F.when(F.col("whole"), 0.0).otherwise(F.coalesce("value", F.lit(0.0)))).alias("logs"),
@@ -265,6 +260,7 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = texts(df, id_col, text_col)
     model = train(rows.join(good.filter(~held_out("doc_id", FOLDS)), "doc_id", "left_semi"))
     scored = cut_lineage(perplexities(df, model, id_col, text_col, lang_col, shared), "perplexities")
+    drop_scratch(model[0])
     checked = scored.join(good.filter(held_out("doc_id", FOLDS)), "doc_id", "left_semi")
     # a short text's perplexity says little: it is drawn towards the usual one of its language
     # written first, so that their size is known and rows of one language need not meet in one task

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "laminae", master: str | None = None, conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -41,12 +45,34 @@ def shared_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write the frame to the shared folder and read it back: later steps start from the files, so
     a lost executor never makes the whole chain run again, and nothing is computed twice (an eager
-    checkpoint runs its input once to count and once to save)."""
+    checkpoint runs its input once to count and once to save). The shuffle files of the write are
+    removed at its end, as nothing reads them again."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Actions inside leave no shuffle files behind."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before else spark.conf.unset(CLEANUP)
+
+
+def drop_scratch(*frames: DataFrame) -> None:
+    """Deletes the folders of frames that cut_lineage wrote, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, for a table written once and read back."""
     return f"{shared_dir(spark).rstrip('/')}/laminae/{label}-{uuid.uuid4().hex}"

@@ -654,6 +654,25 @@ def test_pipeline_links_members_of_large_buckets(spark):
     assert not [i for i in range(600) for j in range(i) if of[i] == of[j] and find(i) != find(j)]
 
 
+def test_quality_leaves_no_counts_on_disk(spark, docs):
+    """Counts and shuffle files go when they were read for the last time, so that disk stays in proportion to the texts."""
+    from pathlib import Path
+
+    from laminae.llm import quality
+    from laminae.session import CLEANUP, cut_lineage
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir"), "laminae")
+    before = set(folder.glob("*"))
+    kept = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).count()
+    assert kept > 0
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before}
+    assert left == {"perplexities", "usual", "limits"}
+    blocks = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    there = blocks()
+    cut_lineage(spark.range(1000).repartition(5, "id"))
+    assert blocks() <= there and spark.conf.get(CLEANUP, None) in (None, "false")
+
+
 def test_pipeline_links_by_tiles_of_fingerprints(spark):
     """All similar pairs are candidates of the SimHash tiles, of small sets too, and groups are those of brute force."""
     from laminae.llm import shingles
