@@ -24,6 +24,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -36,6 +37,9 @@ from laminae.session import cut_lineage
 
 K, RUN, LEAST, SIMILAR, GAP, COST, EXTEND = 6, 10, 50, 0.8, 40, 0.1, 24
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = re.compile(b"[\\x20\\x09-\\x0D]").search
+PIECE = 1 << 21
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _WORDS = re.compile("[^\\x20\\x09-\\x0D]+").finditer
 
 
@@ -71,6 +75,77 @@ def seeds(h: np.ndarray, k: int, run: int) -> tuple[np.ndarray, np.ndarray]:
     return mers[at], at.astype(np.int32)
 
 
+def batch_hashes(texts_: pa.Array, known: WordHash) -> tuple[np.ndarray, np.ndarray]:
+    """word_hashes of all texts of a batch in a row, and each text's number of words, without an object for each word."""
+    data = b" ".join(texts_.to_pylist()).lower() + bytes(8)
+    ends = np.cumsum(pc.binary_length(texts_).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    hashes, places, low = [], [], 0
+    while low < len(data) - 8:
+        cut = _SPACE(data, min(len(data), low + PIECE), len(data) - 8)  # pieces end between words
+        high = cut.start() if cut else len(data) - 8
+        inside = np.zeros(high - low + 2, np.int8)
+        inside[1:-1] = ~_IS_SPACE[np.frombuffer(data, np.uint8, high - low, low)]
+        edge = np.diff(inside)
+        starts, stops = np.flatnonzero(edge > 0) + low, np.flatnonzero(edge < 0) + low
+        hashes.append(_hashes(data, starts, stops - starts, known))
+        places.append(starts)
+        low = high + 1
+    h, at = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((hashes, np.uint64), (places, np.int64)))
+    return h, np.diff(np.searchsorted(at, ends), prepend=0)
+
+
+def _hashes(data: bytes, starts: np.ndarray, sizes: np.ndarray, known: WordHash) -> np.ndarray:
+    """XXH64 (seed 5) of stretches of data, all at once; those of 32 bytes and more one by one. Eight bytes follow the last."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, by: (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    h = p5 + np.uint64(5) + sizes.astype(np.uint64)
+    for i in range(0, 24, 8):
+        w = np.flatnonzero(sizes >= i + 8)
+        h[w] = turn(h[w] ^ (turn(eight[starts[w] + i] * p2, 31) * p1), 27) * p1 + p4
+    at, left = starts + sizes // 8 * 8, sizes % 8
+    w = np.flatnonzero(left >= 4)
+    h[w] = turn(h[w] ^ ((eight[at[w]] & np.uint64(0xFFFFFFFF)) * p1), 23) * p2 + p3
+    at, left = at + left // 4 * 4, left % 4
+    for i in range(3):
+        w = np.flatnonzero(left > i)
+        h[w] = turn(h[w] ^ ((eight[at[w] + i] & np.uint64(0xFF)) * p5), 11) * p1
+    for by, p in ((33, p2), (29, p3)):
+        h = (h ^ (h >> np.uint64(by))) * p
+    h ^= h >> np.uint64(32)
+    for i in np.flatnonzero(sizes >= 32).tolist():
+        h[i] = known[data[starts[i] : starts[i] + sizes[i]]]
+    return h
+
+
+def batch_seeds(texts_: pa.Array, known: WordHash, k: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds of each text of a batch, found for all texts at once: number of the text, hash and place."""
+    h, sizes = batch_hashes(texts_, known)
+    n = np.maximum(sizes - k + 1, 0)  # k-mers of each text
+    first = np.cumsum(n) - n
+    of = np.repeat(np.arange(len(n)), n)
+    mers = np.zeros(max(0, len(h) - k + 1), np.uint64)
+    for i in range(k):
+        mers = (mers ^ h[i : i + len(mers)]) * _MIX
+        mers ^= mers >> np.uint64(31)
+    mers = mers[np.repeat(np.cumsum(sizes) - sizes - first, n) + np.arange(len(of))]  # without those that reach over an end
+    least, last, size = mers, np.arange(len(mers)), 1
+    while size < run and len(least) > 0:  # windows of twice the size, until they are as long as a run; ties go to the later place
+        by = min(size, run - size)
+        lower = least[by:] <= least[: len(least) - by]
+        least = np.where(lower, least[by:], least[: len(least) - by])
+        last = np.where(lower, last[by:], last[: len(last) - by])
+        size += by
+    last = last[of[run - 1 :] == of[: len(last)]] if len(of) >= run else last[:0]
+    short = np.flatnonzero((n > 0) & (n < run))
+    ends = [first[i] + n[i] - 1 - mers[first[i] : first[i] + n[i]][::-1].argmin() for i in short]
+    at = np.unique(np.concatenate([last, np.array(ends, np.int64)]))
+    changed = np.ones(len(at), bool)  # of a run of one repeated k-mer, one seed
+    changed[1:] = (mers[at[1:]] != mers[at[:-1]]) | (of[at[1:]] != of[at[:-1]])
+    at = at[changed]
+    return of[at], mers[at], (at - first[of[at]]).astype(np.int32)
+
+
 def _paths(best: list[float], before: list[int]) -> list[list[int]]:
     used, chains = [False] * len(best), []
     for j in sorted(range(len(best)), key=lambda j: -best[j]):
@@ -182,14 +257,16 @@ def matches(docs: DataFrame, k: int = K, run: int = RUN, gap: int = GAP) -> Data
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         for batch in batches:
-            out: list[tuple] = []
-            for text in batch.column(1):
-                h, at = seeds(word_hashes(text.as_py(), known), k, run)
-                h, index, n = np.unique(h, return_index=True, return_counts=True)
-                out.append((h.view(np.int64), at[index], n.astype(np.int32)))
-            rows = pa.array(np.repeat(np.arange(len(out)), [len(x[0]) for x in out]))
-            columns = [pa.array(np.concatenate(c)) for c in zip(*out)] if out else [pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([columns[0], batch.column(0).take(rows), batch.column(2).take(rows), *columns[1:]], ["seed", "doc_id", "part", "pos", "n"])
+            of, h, at = batch_seeds(batch.column(1), known, k, run)
+            order = np.lexsort((h, of))  # stable: the first of equal seeds is that of the first place
+            of, h, at = of[order], h[order], at[order]
+            fresh = np.ones(len(h), bool)
+            fresh[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+            begin = np.flatnonzero(fresh)
+            n = np.diff(np.append(begin, len(h))).astype(np.int32)
+            rows = pa.array(of[begin])
+            columns = [pa.array(h[begin].view(np.int64)), batch.column(0).take(rows), batch.column(2).take(rows), pa.array(at[begin]), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["seed", "doc_id", "part", "pos", "n"])
 
     found = docs.mapInArrow(first, "seed long, doc_id long, part long, pos int, n int").groupBy("seed")
     summed = found.agg(F.sum("n").alias("n"), F.min("doc_id").alias("ref_id"), F.min_by("part", "doc_id").alias("ref_part"), F.min_by("pos", "doc_id").alias("ref_pos"))
@@ -199,14 +276,10 @@ def matches(docs: DataFrame, k: int = K, run: int = RUN, gap: int = GAP) -> Data
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = WordHash(), np.frombuffer(table.value, np.uint64)
         for batch in batches:
-            out = []
-            for text in batch.column(1):
-                h, at = seeds(word_hashes(text.as_py(), known), k, run)
-                keep = bits.maybe(held, h)
-                out.append((h[keep].view(np.int64), at[keep]))
-            rows = pa.array(np.repeat(np.arange(len(out)), [len(x[0]) for x in out]))
-            columns = [pa.array(np.concatenate(c)) for c in zip(*out)] if out else [pa.array([], t) for t in (pa.int64(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([columns[0], batch.column(0).take(rows), batch.column(2).take(rows), columns[1]], ["seed", "doc_id", "part", "pos"])
+            of, h, at = batch_seeds(batch.column(1), known, k, run)
+            keep = bits.maybe(held, h)
+            rows = pa.array(of[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), batch.column(0).take(rows), batch.column(2).take(rows), pa.array(at[keep])], ["seed", "doc_id", "part", "pos"])
 
     placed = docs.mapInArrow(again, "seed long, doc_id long, part long, pos int")
     found = _with_runs(placed.join(repeated, "seed"), gap)

@@ -654,6 +654,33 @@ def test_pipeline_links_members_of_large_buckets(spark):
     assert not [i for i in range(600) for j in range(i) if of[i] == of[j] and find(i) != find(j)]
 
 
+def test_seeds_of_a_batch_are_those_of_its_texts():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(31)
+    made = [" ".join(f"w{j}" for j in rng.integers(0, kinds, n)).encode() for kinds in (1, 2, 3, 1000) for n in (0, 1, 5, 6, 7, 14, 15, 16, 30, 200)]
+    known = chains.WordHash()
+    for k, run in ((6, 10), (2, 3), (1, 1)):
+        of, h, at = chains.batch_seeds(pa.array(made, pa.binary()), known, k, run)
+        for i, text in enumerate(made):
+            want_h, want_at = chains.seeds(chains.word_hashes(text, known), k, run)
+            assert h[of == i].tolist() == want_h.tolist() and at[of == i].tolist() == want_at.tolist()
+    assert [len(x) for x in chains.batch_seeds(pa.array([], pa.binary()), known, 6, 10)] == [0, 0, 0]
+
+
+def test_words_of_a_batch_are_those_of_its_texts(monkeypatch):
+    import pyarrow as pa
+
+    made = ["", " ", "\t\n\v\f\r x", "A b\u00c4 \u00e4  A", "\x00 \x1c a\x85b\u00a0c", *("xyz" * n + " " + "p" * n for n in range(1, 41)), " lead", "trail \n", "ab ba aab baa", "one"]
+    known = chains.WordHash()
+    for piece in (1, 7, 1 << 21):
+        monkeypatch.setattr(chains, "PIECE", piece)
+        for rows in (made, made[::-1], [], [""], made[1:3] * 3):
+            h, sizes = chains.batch_hashes(pa.array([t.encode() for t in rows], pa.binary()), known)
+            want = [chains.word_hashes(t.encode(), known).tolist() for t in rows]
+            assert sizes.tolist() == [len(w) for w in want] and h.tolist() == [x for w in want for x in w]
+
+
 def test_quality_leaves_no_counts_on_disk(spark, docs):
     """Counts and shuffle files go when they were read for the last time, so that disk stays in proportion to the texts."""
     from pathlib import Path
