@@ -1,4 +1,4 @@
-"""A bit table of fixed size that tells which hashes may be in a large table. It never misses one."""
+"""A bit table of bounded size that tells which hashes may be in a large table. It never misses one."""
 
 from __future__ import annotations
 
@@ -13,22 +13,22 @@ from laminae.session import shuffles_removed
 
 BITS = 27  # 16 MB
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(64 - BITS)
 
 
-def _places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return x >> _SHIFT, (x * _MIX) >> _SHIFT
+def _places(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    shift = np.uint64(64 - size)
+    return x >> shift, (x * _MIX) >> shift
 
 
-def build(df: DataFrame, column: str) -> bytes:
-    """The table of a long column of hashes: two bits for each. A task marks a table of its own and sends its parts on
+def build(df: DataFrame, column: str, size: int = BITS) -> bytes:
+    """The table of 2 ** size bits of a long column of hashes: two bits for each. A task marks a table of its own and sends its parts on
     compressed, so that few hashes are few bytes and many no more than the table."""
     parts = 1 << 9
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << (BITS - 6), np.uint64)
+        table = np.zeros(1 << (size - 6), np.uint64)
         for batch in batches:
-            places = np.unique(np.concatenate(_places(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))).astype(np.int64)
+            places = np.unique(np.concatenate(_places(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), size))).astype(np.int64)
             cell, start = np.unique(places >> 6, return_index=True)
             ones = np.uint64(1) << (places & 63).astype(np.uint64)
             if len(start):
@@ -42,7 +42,7 @@ def build(df: DataFrame, column: str) -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(packed, pa.binary())], ["part", "packed"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((parts, (1 << (BITS - 6)) // parts), np.uint64)
+        table = np.zeros((parts, (1 << (size - 6)) // parts), np.uint64)
         for batch in batches:
             for i, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 table[i] |= np.frombuffer(zlib.decompress(packed), np.uint64)
@@ -51,7 +51,7 @@ def build(df: DataFrame, column: str) -> bytes:
     made = "part long, packed binary"
     with shuffles_removed(df.sparkSession):
         marked = df.select(column).mapInArrow(mark, made).repartition("part").mapInArrow(merge, made).toArrow()
-    table = np.zeros((parts, (1 << (BITS - 6)) // parts), np.uint64)
+    table = np.zeros((parts, (1 << (size - 6)) // parts), np.uint64)
     for i, packed in zip(marked["part"].to_pylist(), marked["packed"].to_pylist()):
         table[i] = np.frombuffer(zlib.decompress(packed), np.uint64)
     return table.tobytes()
@@ -60,6 +60,6 @@ def build(df: DataFrame, column: str) -> bytes:
 def maybe(table: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Which of the hashes may be in the table, given as unsigned 64-bit words."""
     hit = np.ones(len(x), bool)
-    for p in _places(x):
+    for p in _places(x, (len(table) * 64).bit_length() - 1):
         hit &= (table[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
     return hit

@@ -10,7 +10,9 @@ model holds, that n-gram's value (its own log probability less that of its short
 the weight it passes on as a context). So documents need nothing but a join of their n-grams with the
 model's values and a sum. The values of n-grams seen at least twice, and then of
 words and pairs seen once, about `shared` at most, go to every task. The others stay sharded and are joined; a bit table of bounded size tells the tasks which of a
-document's n-grams may be among them, so most n-grams are never shuffled.
+document's n-grams may be among them, so many n-grams are never shuffled. Both joins of all n-grams, that of triples with the pairs they
+end in and that of documents with values, go in up to `ROUNDS` rounds, each over one part of the hashes and with its
+shuffle files deleted at its end: disk holds the tables and one part's shuffle, never all n-grams of all documents.
 
 The threshold of a language is a quantile of the perplexities of trusted rows that the model did not learn
 from, each drawn towards the language's median as if by `prior` more tokens, so that a few rare words
@@ -25,12 +27,12 @@ rejected; repeated rows are scored alike.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,49 +41,86 @@ from laminae.llm.columns import held_out, texts
 from laminae.session import cut_lineage, drop_scratch
 
 SHARED, QUANTILE, PRIOR, MARGIN, FOLDS = 1_500_000, 0.998, 40.0, 0.5, 5
+ROUNDS, ROUND_ROWS = 4, 1_000_000  # at most so many rounds; with no more rows than that, fewer do
+HELD = 1_500_000  # words of trusted texts that a task counts at once
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_START, _END = 1, 2  # hashes of the marks at the start and the end
-_START_PAIR = int(np.array([(32 * int(_MIX)) % 2**64], np.uint64).view(np.int64)[0])  # of two starts
 
 
-class WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 3)
-        return found
+def _powers(base: int, n: int) -> np.ndarray:
+    of = np.full(n, base, np.uint64)
+    of[0] = 1
+    return np.cumprod(of)
 
 
-def ngrams(text: bytes, hashes: WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed words (the end among them), pairs and triples, each at the place of its last word."""
-    words = text.split()
-    w = np.empty(len(words) + 3, np.uint64)
-    w[:2], w[-1] = _START, _END
-    w[2:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    pair = (w[:-1] * np.uint64(31) + w[1:]) * _MIX
-    triple = (pair[:-1] * np.uint64(37) + w[2:]) * _MIX
-    return w[2:], pair[1:], triple
+_IN_WORD = np.array([i not in b" \t\n\r\x0b\x0c" for i in range(256)])  # as bytes.split parts words
+_OF_BYTE = np.random.default_rng(3).integers(0, 2**64, 256, np.uint64)
+_BASE, _BLOCK, _PIECE = 0xD1342543DE82EF95, 2048, 1 << 16
+_INVERSE = pow(_BASE, -1, 2**64)
+_POWERS, _BACK = _powers(_BASE, _BLOCK), _powers(_INVERSE, _BLOCK)
+_START, _END = 1, 2  # hashes of the marks at the start and the end
+_START_PAIR = int(np.array([(32 * int(_MIX)) % 2**64], np.uint64).view(np.int64)[0])  # of two starts
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words that lie in data: the sum of a random number for each byte times a power of _BASE for its
+    place in the word, mixed. Sums over all bytes so far, one subtraction and one inverse power for each word give it."""
+    out = np.empty(len(starts), np.uint64)
+    pieces = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), _PIECE)), len(starts)))
+    for i, j in zip(pieces[:-1], pieces[1:]):
+        at, end = starts[i:j] - starts[i], ends[i:j] - starts[i]
+        n = int(end[-1])
+        blocks = -(-n // _BLOCK)
+        sums = np.zeros(blocks * _BLOCK + 1, np.uint64)
+        np.take(_OF_BYTE, data[starts[i] : ends[j - 1]], out=sums[1 : n + 1], mode="clip")
+        places = sums[1:].reshape(blocks, _BLOCK)
+        places *= _POWERS
+        places *= _powers(pow(_BASE, _BLOCK, 2**64), blocks)[:, None]
+        np.cumsum(sums, out=sums)
+        back = _BACK[at & (_BLOCK - 1)] * _powers(pow(_INVERSE, _BLOCK, 2**64), blocks)[at // _BLOCK]
+        out[i:j] = (sums[end] - sums[at]) * back
+    out = (out ^ (out >> np.uint64(32))) * _MIX
+    return out ^ (out >> np.uint64(29))
+
+
+def batch_ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashed words of a batch of texts, each text after two starts and before its end, in one row; the places of the
+    n-grams' last words in it, and the number of the text of each place."""
+    texts = [text.as_py() for text in texts]
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    edges = np.flatnonzero(np.diff(_IN_WORD[data].astype(np.int8), prepend=0, append=0))
+    starts, ends = edges[::2], edges[1::2]
+    bounds = np.cumsum([0, *(len(text) + 1 for text in texts)])
+    sizes = np.diff(np.searchsorted(starts, bounds))
+    w = np.full(len(starts) + 3 * len(texts), _START, np.uint64)
+    of = np.repeat(np.arange(len(texts)), sizes + 1)
+    at = np.arange(len(of)) + 2 * of + 2
+    inner = np.ones(len(of), bool)
+    inner[np.cumsum(sizes + 1) - 1] = False
+    w[at[inner]] = word_hashes(data, starts, ends)
+    w[at[~inner]] = _END
+    return w, at, of
 
 
 def trusted_ngrams(trusted: DataFrame) -> DataFrame:
     """Triples of trusted texts with their counts: left pair, middle and last word, sharded by left pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHash(), Counter()
+        seen, held = [], 0
 
         def flush() -> pa.RecordBatch:
-            rows = np.array(list(seen), np.int64).reshape(-1, 3)
-            n = pa.array(list(seen.values()), pa.int64())
+            left, middle, word = (np.concatenate(x) for x in zip(*seen))
+            _, first, n = np.unique((left * np.uint64(37) + word) * _MIX, return_index=True, return_counts=True)
             seen.clear()
-            return pa.RecordBatch.from_arrays([*(pa.array(rows[:, i]) for i in range(3)), n], ["left", "middle", "word", "n"])
+            return pa.RecordBatch.from_arrays([*(pa.array(x[first].view(np.int64)) for x in (left, middle, word)), pa.array(n)], ["left", "middle", "word", "n"])
 
         for batch in batches:
-            for text in batch.column(1):
-                one, two, _ = (x.view(np.int64) for x in ngrams(text.as_py(), hashes))
-                left, middle = np.append(_START_PAIR, two[:-1]), np.append(_START, one[:-1])
-                seen.update(zip(left.tolist(), middle.tolist(), one.tolist()))
-                if len(seen) > 200_000:
-                    yield flush()
+            w, at, _ = batch_ngrams(batch.column(1))
+            if len(at):
+                seen.append(((w[at - 2] * np.uint64(31) + w[at - 1]) * _MIX, w[at - 1], w[at]))
+                held += len(at)
+            if held > HELD:
+                yield flush()
+                held = 0
         if seen:
             yield flush()
 
@@ -138,6 +177,14 @@ def _hashed(df: DataFrame, drop: list[str], **hashes: tuple[str, int]) -> DataFr
     return df.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in kept), *(f"{h} long" for h in hashes)]))
 
 
+def _rounds(rows: int) -> int:
+    """A power of two, at most ROUNDS, so that the parts of any number of rounds are unions of those of ROUNDS."""
+    rounds = 1
+    while rounds < ROUNDS and rounds * ROUND_ROWS < rows:
+        rounds *= 2
+    return rounds
+
+
 def train(trusted: DataFrame) -> tuple[DataFrame, float, float]:
     """Values of all n-grams (gram, value, n, size), an unknown word's log2 probability and a start's value.
 
@@ -167,16 +214,21 @@ def train(trusted: DataFrame) -> tuple[DataFrame, float, float]:
     p2 = two.join(p1, "word").select(
         "middle", "word", "seen", "p1", _pass_on(d2).alias("pass_on"), (_discounted("n", d2) / F.col("all") + _pass_on(d2) * F.col("p1")).alias("p2")
     )
-    p2 = p2.select("middle", "word", "seen", real(F.col("p2")).alias("p2"), real(log2("p2") - log2("pass_on") - log2("p1")).alias("value"))
+    part = F.pmod(F.xxhash64("middle", "word"), F.lit(ROUNDS)).cast("int").alias("part")
+    p2 = p2.select("middle", "word", "seen", part, real(F.col("p2")).alias("p2"), real(log2("p2") - log2("pass_on") - log2("p1")).alias("value"))
     p2 = cut_lineage(_hashed(p2, ["middle", "word"], right=("middle", 31)), "pair-shares")
     drop_scratch(two, one)
-    pairs = p2.join(on3, F.col("right") == F.col("context"), "left").select("right", "seen", "p2", real(F.col("value") + on).alias("value"))
+    pairs = p2.join(on3, F.col("right") == F.col("context"), "left").select("right", "seen", "part", "p2", real(F.col("value") + on).alias("value"))
     pairs = cut_lineage(pairs, "pair-values")
     drop_scratch(p2)
-    own = three.select("left", "middle", "word", "n", real(_pass_on(d3)).alias("pass_on"), real(_discounted("n", d3) / F.col("all")).alias("share"))
-    p3 = _hashed(own, ["left", "middle", "word"], triple=("left", 37), right=("middle", 31)).join(pairs.select("right", "p2"), "right")
     whole = F.col("pass_on") * F.col("p2").cast("double")
-    triples = cut_lineage(p3.select(F.col("triple").alias("gram"), real(log2(F.col("share") + whole) - log2(whole)).alias("value"), "n"), "triple-values")
+    rounds, triples = _rounds(three.count()), []
+    for r in range(rounds):
+        # a pair and the triples that end in it are in one part
+        own = three.filter(F.pmod(F.xxhash64("middle", "word"), F.lit(rounds)) == r).select("left", "middle", "word", "n", real(_pass_on(d3)).alias("pass_on"), real(_discounted("n", d3) / F.col("all")).alias("share"))
+        p3 = _hashed(own, ["left", "middle", "word"], triple=("left", 37), right=("middle", 31)).join(pairs.filter(F.col("part") % rounds == r).select("right", "p2"), "right")
+        triples.append(cut_lineage(p3.select(F.col("triple").alias("gram"), real(log2(F.col("share") + whole) - log2(whole)).alias("value"), "n"), "triple-values"))
+    triples = reduce(DataFrame.unionAll, triples)
     drop_scratch(three)
     values = words.unionAll(pairs.select(F.col("right").alias("gram"), "value", F.col("seen").alias("n"), F.lit(2)))
     return values.unionAll(triples.select("gram", "value", "n", F.lit(3))), float(np.log2(unknown)), starts
@@ -188,8 +240,8 @@ def perplexities(df: DataFrame, model: tuple[DataFrame, float, float], id_col: s
     spark = df.sparkSession
     # frequent n-grams first, then words and pairs seen once, up to shared; of a class that does not fit, a range of hashes
     room, whole, part = shared, None, None
-    sizes = values.filter("n > 1 OR size < 3").groupBy("n", "size").count().collect()  # few different counts
-    for r in sorted(sizes, key=lambda r: (-r["n"], r["size"])):
+    sizes = values.groupBy("n", "size").count().collect()  # few different counts
+    for r in sorted((r for r in sizes if r["n"] > 1 or r["size"] < 3), key=lambda r: (-r["n"], r["size"])):
         if r["count"] > room:
             part = r["n"], r["size"], room * 256 // r["count"]
             break
@@ -202,54 +254,88 @@ def perplexities(df: DataFrame, model: tuple[DataFrame, float, float], id_col: s
     table = values.filter(is_shared).select("gram", "value").toArrow()
     grams, worth = table["gram"].to_numpy().view(np.uint64), table["value"].to_numpy().astype(np.float32)
     order = np.argsort(grams)
-    rare = values.filter(~is_shared).select("gram", "value")
+    grams, worth = grams[order], worth[order]
+    rounds = _rounds(sum(r["count"] for r in sizes) - len(grams))
+    keyed = texts(df, id_col, text_col, row=F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(lang_col).cast("string")), lang=F.coalesce(F.col(lang_col).cast("string"), F.lit("")))
+    sums = []
+    for r in range(rounds):
+        rare = values.filter(~is_shared & (F.pmod("gram", F.lit(rounds)) == r)).select("gram", "value")
+        own = grams % np.uint64(rounds) == r
+        flags = bits.build(rare, "gram", bits.BITS - rounds.bit_length() + 1)
+        sent = spark.sparkContext.broadcast((grams[own].tobytes(), worth[own].tobytes(), flags))
+        sums.append(cut_lineage(_one_round(keyed, rare, sent, rounds, r, start, unknown), "sums"))
+        sent.destroy()
+    summed = reduce(DataFrame.unionAll, sums).groupBy("doc_id", "row").agg(
+        F.first("lang", ignorenulls=True).alias("lang"), F.sum("copies").alias("copies"), F.sum("n").alias("n"), F.sum("logs").alias("logs")
+    )
+    out = summed.select("doc_id", "row", "lang", "copies", (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"), F.pow(F.lit(2.0), -F.col("logs") / F.col("n")).alias("perplexity"))
+    out = cut_lineage(out, "perplexities")
+    drop_scratch(*sums)
+    return out
+
 
-    sent = spark.sparkContext.broadcast((grams[order].tobytes(), worth[order].tobytes(), bits.build(rare, "gram")))
+def _one_round(keyed: DataFrame, rare: DataFrame, sent: Broadcast, rounds: int, r: int, start: float, unknown: float) -> DataFrame:
+    """What the n-grams of one part of the hashes add to each text. The first round also counts texts and tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, value, flags = (np.frombuffer(b, k) for b, k in zip(sent.value, (np.uint64, np.float32, np.uint64)))
-        hashes = WordHash()
+        shift, first = directory(keys)
+        mask = np.uint64(rounds - 1)
         for batch in batches:
-            at, found, sums, tokens = [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                one, two, three = ngrams(text.as_py(), hashes)
-                grams_ = np.concatenate([one, two, three])
-                got, miss = lookup(grams_, keys, value)
-                miss = grams_[miss]
-                possible = miss[bits.maybe(flags, miss)]
-                at.append(np.full(len(possible) + 1, i))
-                found.append(np.append(possible, np.uint64(0)))
-                sums.append(float(got.sum()) + start + unknown * len(one))
-                tokens.append(len(one))
-            at, found = np.concatenate(at) if at else np.zeros(0, int), np.concatenate(found) if found else np.zeros(0, np.uint64)
-            ends = np.flatnonzero(found == 0)
-            part, n = np.zeros(len(at)), np.zeros(len(at), np.int64)
-            part[ends], n[ends] = sums, tokens
-            rows = pa.array(at)
-            gram = pa.array(found.view(np.int64), mask=found == 0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (0, 2, 3)), gram, pa.array(part), pa.array(n)], ["doc_id", "row", "lang", "gram", "part", "n"])
+            texts_ = len(batch)
+            w, at, of = batch_ngrams(batch.column(1))
+            tokens = np.bincount(of, minlength=texts_)
+            logs = start + unknown * tokens if r == 0 else np.zeros(texts_)
+            pair = (w[:-1] * np.uint64(31) + w[1:]) * _MIX
+            triple = (pair[:-1] * np.uint64(37) + w[2:]) * _MIX
+            found, owner = [np.zeros(texts_, np.uint64)], [np.arange(texts_)]  # the rows of the texts themselves
+            for grams in (w[at], pair[at - 1], triple[at - 2]) if len(at) else ():
+                here = np.flatnonzero(grams & mask == r)
+                grams, doc = grams[here], of[here]
+                place, hit = lookup(grams, keys, shift, first)
+                logs += np.bincount(doc[hit], weights=value[place[hit]], minlength=texts_)
+                grams, doc = grams[~hit], doc[~hit]
+                possible = bits.maybe(flags, grams)
+                found.append(grams[possible])
+                owner.append(doc[possible])
+            found, owner = np.concatenate(found), np.concatenate(owner)
+            rows, whole = pa.array(owner), np.arange(len(found)) < texts_
+            more = np.zeros(len(found)), np.zeros(len(found), np.int64)
+            more[0][:texts_] = logs
+            more[1][:texts_] = tokens if r == 0 else 0
+            gram = pa.array(found.view(np.int64), mask=whole)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (0, 2)), batch.column(3).take(pa.array(owner, mask=~whole)), gram, *map(pa.array, more)], ["doc_id", "row", "lang", "gram", "part", "n"])
 
-    keyed = texts(df, id_col, text_col, row=F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(lang_col).cast("string")), lang=F.coalesce(F.col(lang_col).cast("string"), F.lit("")))
     parts = keyed.mapInArrow(run, "doc_id long, row long, lang string, gram long, part double, n long")
     whole = F.col("gram").isNull()  # the row of the text itself; its own hash spreads these rows over the join
-    parts = parts.select("doc_id", "row", F.when(whole, F.col("lang")).alias("lang"), "part", "n", whole.alias("whole"), F.coalesce("gram", "row").alias("gram"))
-    joined = parts.join(rare, "gram", "left")
-    summed = joined.groupBy("doc_id", "row").agg(
+    parts = parts.select("doc_id", "row", "lang", "part", "n", whole.alias("whole"), F.coalesce("gram", "row").alias("gram"))
+    return parts.join(rare, "gram", "left").groupBy("doc_id", "row").agg(
         F.first("lang", ignorenulls=True).alias("lang"),
-        F.count_if("whole").alias("copies"),
+        F.count_if(F.col("whole") & (F.lit(r) == 0)).alias("copies"),
         F.sum("n").alias("n"),
         F.sum(F.col("part") + F.when(F.col("whole"), 0.0).otherwise(F.coalesce("value", F.lit(0.0)))).alias("logs"),
     )
-    return summed.select("doc_id", "row", "lang", "copies", (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"), F.pow(F.lit(2.0), -F.col("logs") / F.col("n")).alias("perplexity"))
 
 
-def lookup(grams: np.ndarray, keys: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of the n-grams that the sorted table holds; which are not in it."""
-    if not len(keys):
-        return np.zeros(0, np.float32), np.ones(len(grams), bool)
-    at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-    hit = keys[at] == grams
-    return value[at[hit]].astype(np.float64), ~hit
+def directory(keys: np.ndarray) -> tuple[np.uint64, np.ndarray]:
+    """Where the sorted keys of each range of hashes begin; there are about two ranges for each key."""
+    size = max(1, len(keys).bit_length() + 1)
+    shift = np.uint64(64 - size)
+    return shift, np.concatenate([[0], np.cumsum(np.bincount((keys >> shift).astype(np.int64), minlength=1 << size))])
+
+
+def lookup(grams: np.ndarray, keys: np.ndarray, shift: np.uint64, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the n-grams in the sorted keys; which are really there."""
+    own = (grams >> shift).astype(np.int64)
+    place, end = first[own], first[own + 1]
+    hit, open_ = np.zeros(len(grams), bool), np.flatnonzero(place < end)
+    while len(open_):
+        same = keys[place[open_]] == grams[open_]
+        hit[open_[same]] = True
+        open_ = open_[~same]
+        place[open_] += 1
+        open_ = open_[place[open_] < end[open_]]
+    return place, hit
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", shared: int = SHARED, quantile: float = QUANTILE, prior: float = PRIOR, margin: float = MARGIN) -> DataFrame:
@@ -259,7 +345,7 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     good = labels.filter(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
     rows = texts(df, id_col, text_col)
     model = train(rows.join(good.filter(~held_out("doc_id", FOLDS)), "doc_id", "left_semi"))
-    scored = cut_lineage(perplexities(df, model, id_col, text_col, lang_col, shared), "perplexities")
+    scored = perplexities(df, model, id_col, text_col, lang_col, shared)
     drop_scratch(model[0])
     checked = scored.join(good.filter(held_out("doc_id", FOLDS)), "doc_id", "left_semi")
     # a short text's perplexity says little: it is drawn towards the usual one of its language

@@ -341,6 +341,59 @@ def test_quality_is_kneser_ney(spark, odd, shared):
         assert r.n_tokens == n and math.isclose(math.log2(r.perplexity), -logs / n, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("shared", [0, 60])
+def test_quality_in_rounds(spark, monkeypatch, shared):
+    """Rounds over parts of the hashes add up to the same perplexities, and no round joins more than its part of the n-grams."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(40)], int(rng.integers(0, 60)))) for _ in range(120)] + ["", "w1 w1 w1", "w1 w1 w1"]
+    docs = spark.createDataFrame([(i // 2, t, ["en", None][i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    joined, cut = [], quality.cut_lineage
+
+    def watched(df, label="stage"):
+        out = cut(df, label)
+        joined.extend([out.count()] if label == "triple-values" else [])
+        return out
+
+    def found():
+        joined.clear()
+        model = quality.train(quality.texts(docs.filter("doc_id < 40")))
+        return {(r.doc_id, r.row): (r.lang, r.copies, r.n_tokens, round(math.log2(r.perplexity), 6)) for r in quality.perplexities(docs, model, shared=shared).collect()}
+
+    monkeypatch.setattr(quality, "cut_lineage", watched)
+    once = found()
+    assert len(joined) == 1 and len(once) == len(set(zip([i // 2 for i in range(len(texts))], texts, [i % 2 for i in range(len(texts))])))
+    whole = sum(joined)
+    monkeypatch.setattr(quality, "ROUND_ROWS", 100)
+    assert found() == once and len(joined) == quality.ROUNDS and sum(joined) == whole and max(joined) < whole / 2
+
+
+def test_quality_hashes_words_wherever_they_stand():
+    """The words of a batch are those of bytes.split, text by text, and a word's hash does not depend on its place."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    some = [bytes(rng.choice(list(b"abcd"), int(rng.integers(1, 9))).tolist()) for _ in range(3000)]
+    texts = [b"", b" ", b"a b a", " é\tx\r\n\x0by\x0c\x1fz ".encode(), b"ba ab", b" ".join(some), b"a" * 5000 + b" a", *some]
+    w, at, of = quality.batch_ngrams(pa.array(texts, pa.binary()))
+    words = [text.split() for text in texts]
+    assert np.bincount(of, minlength=len(texts)).tolist() == [len(x) + 1 for x in words] and at.tolist() == sorted(set(at.tolist()))
+    alone = {x: int(quality.batch_ngrams(pa.array([x], pa.binary()))[0][2]) for x in {x for own in words for x in own}}
+    assert len(set(alone.values())) == len(alone)
+    want = [h for own in words for h in [quality._START, quality._START, *(alone[x] for x in own), quality._END]]
+    assert w.tolist() == want
+    empty = quality.batch_ngrams(pa.array([], pa.binary()))
+    assert [len(x) for x in empty] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_quality_lookup(n):
+    rng = np.random.default_rng(n)
+    keys = np.sort(np.unique(rng.integers(0, 2**64, n, np.uint64)))
+    asked = np.concatenate([keys, keys + np.uint64(1), rng.integers(0, 2**64, 50, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    place, hit = quality.lookup(asked, keys, *quality.directory(keys))
+    assert hit.tolist() == np.isin(asked, keys).tolist() and (keys[place[hit]] == asked[hit]).all()
+
+
 def test_quality_rejects_junk(spark, odd, empty):
     rng = np.random.default_rng(6)
     words = [f"word{i}" for i in range(60)]
